@@ -62,8 +62,8 @@ def zone_label(zone, name):
 
 
 def at_least(column, floor):
-    """Clip from below."""
-    return F.greatest(column, F.lit(floor))
+    """Clip from below; null stays null."""
+    return F.when(column.isNotNull(), F.greatest(column, F.lit(floor)))
 
 
 def or_zero(column):

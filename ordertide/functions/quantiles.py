@@ -93,6 +93,6 @@ def exact_quantiles(df, keys, value, probs, weight=None, bin_width=1.0):
         low = F.max(F.when((F.col("_name") == name) & F.col("_low"), F.col("_value")))
         high = F.max(F.when((F.col("_name") == name) & ~F.col("_low"), F.col("_value")))
         fraction = F.max(F.when(F.col("_name") == name, F.col("_fraction")))
-        return (low + (high - low) * fraction).alias(name)
+        return (low * (1 - fraction) + high * fraction).alias(name)
 
     return found.groupBy(*keys).agg(*[interpolated(name) for name in probs], F.max("n").alias("n"))

@@ -220,7 +220,7 @@ def zones(nation):
         _zone(k).alias("zone_id"),
         F.col("n_name").alias("district"),
         (F.lit(100000) + k * 1000).cast("int").alias("population"),
-        ((k + 1).cast("double") / 300.0).alias("spawn_probability"),
+        ((k + 1).cast("double") / 256.0).alias("spawn_probability"),
         (k % 5).cast("double").alias("centroid_x"),
         F.floor(k / 5).cast("double").alias("centroid_y"),
         (F.lit(1.0) - k.cast("double") / 100.0).alias("centrality_weight"),

@@ -86,6 +86,11 @@ def naive(df):
     return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in stamps}) if stamps else df
 
 
+def rounded(df, *names):
+    """Percentiles to nine digits: engines differ in the last bit of the interpolation."""
+    return df.withColumns({name: F.round(name, 9) for name in names})
+
+
 def query(name):
     def register(build):
         def run(spark, folder):
@@ -513,7 +518,8 @@ def _(t):
 
 @query("order_kpis")
 def _(t):
-    return ords.order_kpis(t.orders)
+    kpis = ords.order_kpis(t.orders)
+    return rounded(kpis, "p95_prep_time_min", "p95_travel_time_min", "p95_delivery_min")
 
 
 @query("cancellation_mix")
@@ -538,12 +544,13 @@ def _(t):
 
 @query("delivery_percentiles")
 def _(t):
-    return ords.delivery_percentiles(t.orders)
+    return rounded(ords.delivery_percentiles(t.orders), "p50", "p95")
 
 
 @query("stage_times")
 def _(t):
-    return ords.stage_times(t.orders)
+    # The total adds four means in no fixed order; nine digits hide the order.
+    return ords.stage_times(t.orders).withColumn("avg_min", F.round("avg_min", 9))
 
 
 @query("courier_kpis")
@@ -787,7 +794,7 @@ def _(t):
 
 @query("late_events")
 def _(t):
-    return quality.late_events(t.orders, t.couriers)
+    return rounded(quality.late_events(t.orders, t.couriers), "p50_delay_s", "p95_delay_s")
 
 
 @query("duplicate_events")
@@ -832,7 +839,7 @@ def _(t):
 
 @query("prep_sla")
 def _(t):
-    return quality.prep_sla(t.orders)
+    return rounded(quality.prep_sla(t.orders), "p50_prep_min", "p95_prep_min")
 
 
 @query("dispatch_latency")

@@ -23,7 +23,9 @@ _FAR = datetime.datetime(2100, 1, 1)
 def closing_rows(spark, feed):
     schema = FEEDS[feed][1]
     types = ORDER_EVENT_TYPES if feed == ORDER_FEED else COURIER_EVENT_TYPES
+    # Join keys are filled in: Spark drops rows with null keys before the watermark sees them.
     known = {"event_time": _FAR, "ingestion_time": _FAR, "order_id": f"{CLOSING}-{feed}", "courier_id": CLOSING}
+    known.update(dict.fromkeys(("user_zone_id", "restaurant_zone_id", "courier_zone_id"), CLOSING))
     rows = [
         tuple({**known, "event_type": kind, "event_id": f"{CLOSING}-{kind}"}.get(name) for name in schema.names)
         for kind in types
@@ -45,7 +47,7 @@ class Replay:
         self.name = name
         self.feeds = feeds
         self.session = stream_session(spark)
-        self.folder = run_folder(spark, name)
+        self.folder = run_folder(spark, "replay")
 
     def _stage(self, feed):
         key = (self.spark.sparkContext.applicationId, self.name, feed)
