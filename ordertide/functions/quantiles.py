@@ -43,56 +43,40 @@ def exact_quantiles(df, keys, value, probs, weight=None, bin_width=1.0):
         .withColumn("_start", F.col("_end") - F.col("_in_bin"))
     )
 
-    # The two ranks each percentile lies between, with the bin that holds them.
-    wanted = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(name).alias("name"), ((F.col("n") - 1) * F.lit(p)).alias("pos"))
-                for name, p in probs.items()
-            ]
+    # Each percentile lies between two ranks; a bin keeps the ranks it holds, at most
+    # two per percentile, and bins that hold none are dropped.
+    def rank(name, probability, low):
+        position = (F.col("n") - 1) * F.lit(probability)
+        return F.struct(
+            F.lit(name).alias("name"),
+            F.lit(low).alias("low"),
+            (position - F.floor(position)).alias("fraction"),
+            ((F.floor(position) if low else F.ceil(position)) - F.col("_start")).alias("rank"),
         )
-    )
-    ranks = F.explode(
-        F.array(
-            F.struct(F.lit(True).alias("low"), F.floor("_q.pos").alias("rank")),
-            F.struct(F.lit(False).alias("low"), F.ceil("_q.pos").alias("rank")),
-        )
-    )
-    targets = (
-        bins.select("*", wanted.alias("_q"))
-        .select("*", ranks.alias("_r"))
-        .filter((F.col("_r.rank") >= F.col("_start")) & (F.col("_r.rank") < F.col("_end")))
-        .select(
-            *keys,
-            "_bin",
-            "n",
-            F.col("_q.name").alias("_name"),
-            F.col("_r.low").alias("_low"),
-            (F.col("_q.pos") - F.floor("_q.pos")).alias("_fraction"),
-            (F.col("_r.rank") - F.col("_start")).alias("_rank"),
-        )
-    )
+
+    ranks = F.array(*[rank(name, p, low) for name, p in probs.items() for low in (True, False)])
+    held = F.filter(ranks, lambda r: (r["rank"] >= 0) & (r["rank"] < F.col("_in_bin")))
+    chosen = bins.select(*keys, "_bin", "n", held.alias("_held")).filter(F.size("_held") > 0)
 
     # Rank the values of the chosen bins only.
     bin_keys = [*keys, "_bin"]
     in_bin = Window.partitionBy(*bin_keys).orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
-    chosen = targets.select(*bin_keys).distinct()
     ranked = (
         counts.alias("v")
-        .join(chosen.alias("c"), _same("v", "c", bin_keys), "left_semi")
+        .join(chosen.alias("c"), _same("v", "c", bin_keys))
+        .select(*[F.col(f"v.{name}") for name in bin_keys], "v._value", "v._count", "c.n", "c._held")
         .withColumn("_upto", F.sum("_count").over(in_bin))
     )
-    hit = (F.col("t._rank") < F.col("v._upto")) & (F.col("t._rank") >= F.col("v._upto") - F.col("v._count"))
-    found = (
-        ranked.alias("v")
-        .join(targets.alias("t"), _same("v", "t", bin_keys) & hit)
-        .select("t.*", "v._value")
+    here = F.filter(
+        "_held", lambda r: (r["rank"] < F.col("_upto")) & (r["rank"] >= F.col("_upto") - F.col("_count"))
     )
+    found = ranked.select(*keys, "n", "_value", F.explode(here).alias("_r"))
 
     def interpolated(name):
-        low = F.max(F.when((F.col("_name") == name) & F.col("_low"), F.col("_value")))
-        high = F.max(F.when((F.col("_name") == name) & ~F.col("_low"), F.col("_value")))
-        fraction = F.max(F.when(F.col("_name") == name, F.col("_fraction")))
+        of = F.col("_r.name") == name
+        low = F.max(F.when(of & F.col("_r.low"), F.col("_value")))
+        high = F.max(F.when(of & ~F.col("_r.low"), F.col("_value")))
+        fraction = F.max(F.when(of, F.col("_r.fraction")))
         return (low * (1 - fraction) + high * fraction).alias(name)
 
     return found.groupBy(*keys).agg(*[interpolated(name) for name in probs], F.max("n").alias("n"))

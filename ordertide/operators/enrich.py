@@ -1,7 +1,8 @@
 """Enrichment from route, restaurant, promotion, match and calendar tables.
 
 Time ranges of the reference tables are spelled out into their hours or minutes,
-so every lookup is an equality join that Spark may broadcast or shuffle.
+so every lookup is an equality join. A spelled-out table is broadcast once its size
+has been checked, which leaves the events where they are; a larger one is shuffled.
 """
 
 import datetime
@@ -25,6 +26,7 @@ from ordertide.constants import (
     WEEKEND_MULTIPLIER,
 )
 from ordertide.functions.columns import event_is, is_holiday, is_weekend, meal_period, minute_of_day
+from ordertide.session import small_side
 
 
 def route_lookup(events, matrix, origin, destination):
@@ -142,7 +144,7 @@ def match_multiplier(orders, multipliers):
         F.col("zone_id").alias("user_zone_id"), F.col("category").alias("restaurant_category"), "multiplier"
     )
     created = orders.filter(event_is("order_created"))
-    return created.join(keyed, ["user_zone_id", "restaurant_category"], "left").select(
+    return created.join(small_side(keyed), ["user_zone_id", "restaurant_category"], "left").select(
         "event_id",
         "order_id",
         "user_zone_id",
@@ -183,7 +185,7 @@ def promo_match(orders, hours):
         F.weekday("event_time").alias("weekday"),
         F.hour("event_time").alias("hour"),
     )
-    return created.join(hours, ["weekday", "hour", "category"], "left").select(
+    return created.join(small_side(hours), ["weekday", "hour", "category"], "left").select(
         "event_id", "order_id", "event_time", "category", "promo"
     )
 
@@ -219,7 +221,7 @@ def match_day_tag(orders, minutes, zone="user_zone_id"):
         F.weekday("event_time").alias("weekday"),
         minute_of_day(F.col("event_time")).alias("minute"),
     )
-    tagged = keyed.join(minutes, ["zone_id", "weekday", "minute"], "left")
+    tagged = keyed.join(small_side(minutes), ["zone_id", "weekday", "minute"], "left")
     return tagged.select(
         "event_id",
         "order_id",
