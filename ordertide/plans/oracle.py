@@ -614,13 +614,18 @@ _SQL = {
           + (max(epoch_us(event_time)) - min(epoch_us(event_time))) // 2 FROM ord) GROUP BY 1, 2""",
     "append_mode_close": """SELECT * FROM tumbling
         WHERE window_end <= (SELECT max(event_time) - INTERVAL '15 minutes' FROM ord)""",
-    "lifecycle_state": """, ready AS (SELECT order_id, min(event_time) AS ready_at FROM ord
-          WHERE event_type = 'order_ready_for_pickup' GROUP BY 1)
-        SELECT r.order_id, r.ready_at, r.ready_at + INTERVAL '15 minutes' AS due_at,
-          (SELECT arg_max(f.event_type, (f.event_time, f.event_type)) FROM feed f
-           WHERE f.order_id = r.order_id AND f.event_time <= r.ready_at + INTERVAL '15 minutes') AS last_event
-        FROM ready r WHERE NOT EXISTS (SELECT 1 FROM feed f WHERE f.order_id = r.order_id
-          AND f.event_time <= r.ready_at + INTERVAL '15 minutes'
+    "lifecycle_state": """, taken AS (SELECT order_id, event_time FROM feed
+          WHERE event_type IN ('courier_assigned_order', 'order_delivered') OR event_type LIKE 'order_cancelled%'),
+        ready AS (SELECT order_id, min(event_time) AS ready_at FROM ord WHERE event_type = 'order_ready_for_pickup' GROUP BY 1)
+        SELECT f.order_id, min(event_time) AS first_at, max(event_time) AS last_at,
+          arg_max(event_type, (event_time, event_type)) AS last_event,
+          (epoch_us(max(event_time)) - epoch_us(min(event_time))) / 6e7 AS elapsed_min, r.ready_at,
+          r.ready_at IS NOT NULL AND f.order_id NOT IN (SELECT t.order_id FROM taken t JOIN ready x USING (order_id)
+            WHERE t.event_time <= x.ready_at + INTERVAL '15 minutes') AS stuck
+        FROM feed f LEFT JOIN ready r ON r.order_id = f.order_id WHERE f.order_id IS NOT NULL GROUP BY f.order_id, r.ready_at""",
+    "stuck_orders": """SELECT r.order_id, r.event_time AS ready_at, r.event_time + INTERVAL '15 minutes' AS due_at FROM ord r
+        WHERE r.event_type = 'order_ready_for_pickup' AND NOT EXISTS (SELECT 1 FROM feed f WHERE f.order_id = r.order_id
+          AND f.event_time <= r.event_time + INTERVAL '15 minutes' AND f.event_time >= r.event_time - INTERVAL '240 minutes'
           AND (f.event_type IN ('courier_assigned_order', 'order_delivered') OR f.event_type LIKE 'order_cancelled%'))""",
     "checkpoint_restart": "SELECT * FROM tumbling",
     "multi_query": """SELECT 'orders' AS sink, count(*) AS rows FROM ord
@@ -758,5 +763,7 @@ _SQL = {
               (isodow(event_time) - 1) * 1440 + hour(event_time) * 60 + minute(event_time) AS week_minute FROM ord) o""",
 }
 _SQL["courier_activity"] = _SQL["series_align"]
+_SQL["stuck_orders_stream"] = _SQL["stuck_orders"]
+_SQL["lifecycle_state_stream"] = _SQL["lifecycle_state"]
 
 ORACLE = {name: _CTES + sql for name, sql in _SQL.items()}

@@ -51,6 +51,18 @@ class Tables:
     def couriers(self):
         return feeds.courier_feed(self.read("events"))
 
+    def spread(self, feed):
+        """A feed for work that is heavy per row, such as parsing payloads.
+
+        Events in fewer splits than cores are dealt out by key before they are
+        expanded; a table of many files is left alone.
+        """
+        events = self.read("events")
+        cores = self.spark.sparkContext.defaultParallelism
+        if events.rdd.getNumPartitions() < cores:
+            events = events.repartition(cores, "event_id")
+        return feeds.order_feed(events) if feed == ORDER_FEED else feeds.courier_feed(events)
+
     @property
     def zones(self):
         return feeds.zones(self.read("nation"))
@@ -77,7 +89,7 @@ class Tables:
         )
 
     def replay(self):
-        return Replay(self.spark, self.folder, {ORDER_FEED: self.orders, COURIER_FEED: self.couriers})
+        return Replay(self.spark, self.folder, {feed: self.spread(feed) for feed in (ORDER_FEED, COURIER_FEED)})
 
 
 def naive(df):
@@ -114,7 +126,7 @@ def saved(t, name):
 def _(t):
     # Files of payloads stand in for the topic; the decoding path is the same.
     path = saved(t, "topic")
-    kafka.messages(sinks.iso_times(t.orders), ORDER_FEED).write.parquet(path)
+    kafka.messages(sinks.iso_times(t.spread(ORDER_FEED)), ORDER_FEED).write.parquet(path)
     replay = t.replay()
     raw = readers.stream_parquet(replay.session, path, "key binary, value binary")
     return replay.result(dedup.dedup_exact(decode.decode_feed(raw, ORDER_FEED)))
@@ -122,23 +134,23 @@ def _(t):
 
 @query("decode_json")
 def _(t):
-    return decode.decode_json(kafka.messages(sinks.iso_times(t.orders), ORDER_FEED), ORDER_WIRE)
+    return decode.decode_json(kafka.messages(sinks.iso_times(t.spread(ORDER_FEED)), ORDER_FEED), ORDER_WIRE)
 
 
 @query("decode_avro")
 def _(t):
-    return decode.decode_avro_rows(kafka.messages(t.orders, ORDER_FEED, "avro"), ORDER_RECORD)
+    return decode.decode_avro_rows(kafka.messages(t.spread(ORDER_FEED), ORDER_FEED, "avro"), ORDER_RECORD)
 
 
 @query("decode_avro_couriers")
 def _(t):
-    return decode.decode_avro_rows(kafka.messages(t.couriers, COURIER_FEED, "avro"), COURIER_RECORD)
+    return decode.decode_avro_rows(kafka.messages(t.spread(COURIER_FEED), COURIER_FEED, "avro"), COURIER_RECORD)
 
 
 @query("decode_mixed")
 def _(t):
-    payloads = kafka.messages(sinks.iso_times(t.couriers), COURIER_FEED).unionByName(
-        kafka.messages(t.couriers, COURIER_FEED, "avro")
+    payloads = kafka.messages(sinks.iso_times(t.spread(COURIER_FEED)), COURIER_FEED).unionByName(
+        kafka.messages(t.spread(COURIER_FEED), COURIER_FEED, "avro")
     )
     return decode.decode_feed(payloads, COURIER_FEED)
 
@@ -151,9 +163,9 @@ def _(t):
 @query("union_formats")
 def _(t):
     json_rows = decode.typed_times(
-        decode.decode_json(kafka.messages(sinks.iso_times(t.orders), ORDER_FEED), ORDER_WIRE)
+        decode.decode_json(kafka.messages(sinks.iso_times(t.spread(ORDER_FEED)), ORDER_FEED), ORDER_WIRE)
     )
-    avro_rows = decode.decode_avro_rows(kafka.messages(t.orders, ORDER_FEED, "avro"), ORDER_RECORD)
+    avro_rows = decode.decode_avro_rows(kafka.messages(t.spread(ORDER_FEED), ORDER_FEED, "avro"), ORDER_RECORD)
     return decode.union_formats(json_rows, avro_rows, ORDER_EVENTS)
 
 
@@ -165,7 +177,7 @@ def _(t):
 @query("read_ndjson")
 def _(t):
     path = saved(t, "ndjson")
-    sinks.write_ndjson(t.couriers, path)
+    sinks.write_ndjson(t.spread(COURIER_FEED), path)
     broken = t.spark.createDataFrame([('{"event_id": "K',), ("",), ("[1, 2",)], "line string")
     broken.write.mode("append").text(path)
     return decode.align_schema(readers.read_ndjson(t.spark, path, COURIER_WIRE), COURIER_WIRE)
@@ -174,7 +186,7 @@ def _(t):
 @query("read_parquet_prefix")
 def _(t):
     path = saved(t, "events")
-    sinks.write_events(t.orders, path)
+    sinks.write_events(t.spread(ORDER_FEED), path)
     return readers.read_parquet_prefix(t.spark, path)
 
 
@@ -186,7 +198,7 @@ def _(t):
 
 @query("finalise_events")
 def _(t):
-    return decode.finalise_events(sinks.iso_times(t.orders))
+    return decode.finalise_events(sinks.iso_times(t.spread(ORDER_FEED)))
 
 
 def _csv(t, df, name):
@@ -234,7 +246,7 @@ def _(t):
 @query("sink_ndjson")
 def _(t):
     path = saved(t, "ndjson")
-    sinks.write_ndjson(t.orders, path, max_per_file=1000)
+    sinks.write_ndjson(t.spread(ORDER_FEED), path, max_per_file=1000)
     return decode.typed_times(readers.read_ndjson(t.spark, path, ORDER_WIRE))
 
 
@@ -246,13 +258,13 @@ def _(t):
 @query("to_avro_record_couriers")
 def _(t):
     path = saved(t, "records")
-    kind = sinks.write_records(t.couriers, COURIER_FEED, path)
+    kind = sinks.write_records(t.spread(COURIER_FEED), COURIER_FEED, path)
     return t.spark.read.format(kind).load(path)
 
 
 @query("sink_kafka")
 def _(t):
-    sent = kafka.messages(sinks.iso_times(t.couriers), COURIER_FEED)
+    sent = kafka.messages(sinks.iso_times(t.spread(COURIER_FEED)), COURIER_FEED)
     body = F.from_json(F.col("value").cast("string"), COURIER_WIRE)
     return sent.select(F.col("key").cast("string").alias("key"), body.alias("b")).select(
         "key", "b.event_id", "b.event_type", "b.event_time", "b.event_time_epoch_ms"
@@ -753,11 +765,30 @@ def _(t):
     return replay.in_slices(ORDER_FEED, [t.orders], windows.orders_tumbling_kpi)[0]
 
 
+def _both_streams(replay):
+    return tables.union_feeds(replay.stream(ORDER_FEED), replay.stream(COURIER_FEED))
+
+
 @query("lifecycle_state")
+def _(t):
+    return lifecycle.order_lifecycle(tables.union_feeds(t.orders, t.couriers))
+
+
+@query("lifecycle_state_stream")
+def _(t):
+    replay = t.replay()
+    return replay.result(lifecycle.order_lifecycle(_both_streams(replay)))
+
+
+@query("stuck_orders")
+def _(t):
+    return lifecycle.stuck_orders(tables.union_feeds(t.orders, t.couriers))
+
+
+@query("stuck_orders_stream")
 def _(t):
     replay = t.replay()
-    both = tables.union_feeds(replay.stream(ORDER_FEED), replay.stream(COURIER_FEED))
-    return replay.result(lifecycle.stuck_orders(both))
+    return replay.result(lifecycle.stuck_orders(_both_streams(replay)))
 
 
 @query("checkpoint_restart")

@@ -25,8 +25,9 @@ FEEDS = {
 
 def decode_json(raw, schema):
     """JSON payloads to rows of the wire schema; rows without an event id are dropped."""
-    rows = raw.select(F.from_json(F.col("value").cast("string"), schema).alias("d")).select("d.*")
-    return rows.filter(F.col("event_id").isNotNull())
+    # Dropping inside the generator keeps the payload from being parsed a second time for a filter.
+    parsed = F.array(F.from_json(F.col("value").cast("string"), schema))
+    return raw.select(F.inline(F.filter(parsed, lambda d: d["event_id"].isNotNull())))
 
 
 def avro_times(rows):

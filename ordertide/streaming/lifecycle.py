@@ -1,73 +1,66 @@
-"""Per-order state: the last stage of each order and orders stuck without a courier."""
+"""Per-order state: the last stage of each order and orders stuck without a courier.
+
+Both operators keep their state in Spark's own aggregation and join state, so no
+order passes through Python.
+"""
 
-import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ordertide.constants import ALL_CANCEL_TYPES
+from ordertide.functions.columns import event_is, minutes_between
 from ordertide.operators.windows import watermarked
 
-_STATE = "ready_us bigint, taken_us bigint, last_us bigint, last_event string"
-_OUTPUT = "order_id string, ready_at timestamp, due_at timestamp, last_event string"
 _TAKEN = ["courier_assigned_order", "order_delivered", *ALL_CANCEL_TYPES]
-_MINUTE_US = 60_000_000
-
 
-def _earliest(known, micros):
-    if micros.empty:
-        return known
-    first = int(micros.min())
-    return first if known is None else min(known, first)
 
+def order_lifecycle(events, minutes=15, quiet_minutes=240, delay="15 minutes"):
+    """Last stage, elapsed time and alert of each order, from both feeds.
 
-def stuck_orders(events, minutes=15, forget_minutes=240, delay="15 minutes"):
-    """Orders ready for pickup that neither a courier took nor anything ended in time.
-
-    ``events`` holds order_id, event_type and event_time of both feeds. An order is
-    reported once, when the watermark passes its deadline, with its last event up to
-    then. The state of an order is dropped ``forget_minutes`` after its last event.
+    ``stuck`` tells that nothing took a ready order within the given minutes. On a
+    stream an order is reported when it has been quiet for ``quiet_minutes``; events
+    after that open it anew. In batch there is one row per order.
     """
     rows = watermarked(events.select("order_id", "event_type", "event_time"), delay).filter(
         F.col("order_id").isNotNull() & F.col("event_time").isNotNull()
     )
-    limit, keep = minutes * _MINUTE_US, forget_minutes * _MINUTE_US
+    quiet = [F.session_window("event_time", f"{quiet_minutes} minutes")] if events.isStreaming else []
+    # Ties in time are settled by name, so that the order of arrival does not matter.
+    stages = rows.groupBy(*quiet, "order_id").agg(
+        F.min("event_time").alias("first_at"),
+        F.max(F.struct("event_time", "event_type")).alias("last"),
+        F.min(F.when(event_is("order_ready_for_pickup"), F.col("event_time"))).alias("ready_at"),
+        F.min(F.when(event_is(*_TAKEN), F.col("event_time"))).alias("taken_at"),
+    )
+    late = minutes_between(F.col("ready_at"), F.col("taken_at")) > F.lit(float(minutes))
+    return stages.select(
+        "order_id",
+        "first_at",
+        F.col("last.event_time").alias("last_at"),
+        F.col("last.event_type").alias("last_event"),
+        minutes_between(F.col("first_at"), F.col("last.event_time")).alias("elapsed_min"),
+        "ready_at",
+        (F.col("ready_at").isNotNull() & (F.col("taken_at").isNull() | late)).alias("stuck"),
+    )
+
 
-    def pending(ready, taken):
-        return ready is not None and (taken is None or taken > ready + limit)
+def stuck_orders(events, minutes=15, look_back_minutes=240, delay="15 minutes"):
+    """Ready orders that nothing took in time, reported as soon as the deadline has passed.
+
+    An outer join of the feeds with themselves: a ready order waits in the join state
+    until its deadline and comes out if nothing took it by then.
+    """
+    rows = events.select("order_id", "event_type", "event_time")
 
-    def follow(key, batches, group):
-        if group.hasTimedOut:
-            ready, taken, _, last_event = group.get
-            group.remove()
-            if pending(ready, taken):
-                yield pd.DataFrame(
-                    {
-                        "order_id": [key[0]],
-                        "ready_at": [pd.Timestamp(ready, unit="us", tz="UTC")],
-                        "due_at": [pd.Timestamp(ready + limit, unit="us", tz="UTC")],
-                        "last_event": [last_event],
-                    }
-                )
-            return
-        ready, taken, last, last_event = group.get if group.exists else (None, None, None, None)
-        for batch in batches:
-            if batch.empty:
-                continue
-            times = batch["event_time"]
-            if times.dt.tz is not None:
-                times = times.dt.tz_convert("UTC").dt.tz_localize(None)
-            micros = times.astype("datetime64[us]").astype("int64")
-            ready = _earliest(ready, micros[batch["event_type"] == "order_ready_for_pickup"])
-            taken = _earliest(taken, micros[batch["event_type"].isin(_TAKEN)])
-            due = None if ready is None else ready + limit
-            # Ties in time are settled by name, so that the order of arrival does not matter.
-            upto = [(int(t), e) for t, e in zip(micros, batch["event_type"]) if due is None or t <= due]
-            if upto and (last is None or max(upto) > (last, last_event)):
-                last, last_event = max(upto)
-        group.update((ready, taken, last, last_event))
-        wake = ready + limit if pending(ready, taken) else (last or 0) + keep
-        group.setTimeoutTimestamp(max(wake // 1000, group.getCurrentWatermarkMs() + 1))
+    def side(name, *types):
+        kept = watermarked(rows.filter(event_is(*types)), delay)
+        return kept.select(F.col("order_id").alias(f"{name}_id"), F.col("event_time").alias(f"{name}_at"))
 
-    return rows.groupBy("order_id").applyInPandasWithState(
-        follow, _OUTPUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout
+    ready, taken = side("ready", "order_ready_for_pickup"), side("taken", *_TAKEN)
+    due = F.col("ready_at") + F.expr(f"interval {minutes} minutes")
+    since = F.col("ready_at") - F.expr(f"interval {look_back_minutes} minutes")
+    same = (F.col("ready_id") == F.col("taken_id")) & F.col("taken_at").between(since, due)
+    return (
+        ready.join(taken, same, "left")
+        .filter(F.col("taken_id").isNull())
+        .select(F.col("ready_id").alias("order_id"), "ready_at", due.alias("due_at"))
     )
