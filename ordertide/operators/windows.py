@@ -7,8 +7,8 @@ from ordertide.functions.columns import count_if, event_is
 
 
 def watermarked(df, delay):
-    """Watermark on event time; batch frames need none."""
-    return df.withWatermark("event_time", delay) if df.isStreaming else df
+    """Watermark on event time. Batch frames need none, and without a delay the stream has its own."""
+    return df.withWatermark("event_time", delay) if df.isStreaming and delay else df
 
 
 def _bounds(df, *columns):

@@ -12,15 +12,20 @@ def read_events(raw, feed, delay="15 minutes"):
     return dedup_watermark(decode_feed(raw, feed), delay)
 
 
-def kpi_streams(orders, couriers):
-    """The two raw feeds and the four KPIs by sink name."""
+def kpi_streams(orders, couriers, hopping_orders=None, marked=False):
+    """The two raw feeds and the four KPIs by sink name.
+
+    ``marked`` feeds carry their watermark already. The hopping KPI waits longer for
+    late events than the others, so it may be given its own order feed.
+    """
+    own = {"delay": None} if marked else {}
     return {
         "orders": orders,
         "couriers": couriers,
-        "kpi_orders_5min_tumbling": orders_tumbling_kpi(orders),
-        "kpi_orders_10min_hop5": orders_hopping_kpi(orders),
-        "kpi_zone_health": zone_health(orders, couriers),
-        "kpi_anomaly_zones": anomaly_zones(orders),
+        "kpi_orders_5min_tumbling": orders_tumbling_kpi(orders, **own),
+        "kpi_orders_10min_hop5": orders_hopping_kpi(orders if hopping_orders is None else hopping_orders, **own),
+        "kpi_zone_health": zone_health(orders, couriers, **own),
+        "kpi_anomaly_zones": anomaly_zones(orders, **own),
     }
 
 
@@ -28,7 +33,8 @@ def start_pipeline(order_topic, courier_topic, output, checkpoints, interval="10
     """Start every query on two topics; without an interval each ends when it has caught up."""
     orders = read_events(order_topic, ORDER_FEED)
     couriers = read_events(courier_topic, COURIER_FEED)
-    return start_all(kpi_streams(orders, couriers), output, checkpoints, interval)
+    hopping = read_events(order_topic, ORDER_FEED, "20 minutes")
+    return start_all(kpi_streams(orders, couriers, hopping, marked=True), output, checkpoints, interval)
 
 
 def start_all(streams, output, checkpoints, interval=None):
