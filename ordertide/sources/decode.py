@@ -82,11 +82,13 @@ def typed_times(df):
 def decode_feed(raw, feed):
     """Payloads of one topic, JSON and Avro mixed, to the typed feed in one read.
 
-    Only payloads that are not JSON reach the Avro decoder.
+    Only payloads that are not JSON reach the Avro decoder. The generators stand where
+    a plain projection or filter would be merged with its neighbours and make Spark
+    decode a payload once per column.
     """
     wire, events, record = FEEDS[feed]
     text = F.from_json(F.col("value").cast("string"), wire)
-    parsed = raw.select("value", text.alias("j"))
+    parsed = raw.select("value", F.explode(F.array(text)).alias("j"))
     binary = F.when(F.col("j.event_id").isNull(), F.col("value"))
     parsed = parsed.select("j", decode_avro(raw.sparkSession, binary, record).alias("a"))
 
@@ -98,7 +100,8 @@ def decode_feed(raw, feed):
         own = F.col(f"j.{field.name}").try_cast(field.dataType)
         return F.when(F.col("j.event_id").isNotNull(), own).otherwise(other).alias(field.name)
 
-    return parsed.select(*[either(f) for f in events.fields]).filter(F.col("event_id").isNotNull())
+    row = F.array(F.struct(*[either(f) for f in events.fields]))
+    return parsed.select(F.inline(F.filter(row, lambda d: d["event_id"].isNotNull())))
 
 
 def finalise_events(df):

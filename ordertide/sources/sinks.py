@@ -71,6 +71,10 @@ def write_records(events, feed, path, max_per_file=10000):
 
 
 def write_events(events, path):
-    """Parquet by event date, so that a reader of some days opens only those."""
-    dated = events.withColumn("event_date", F.to_date("event_time"))
+    """Parquet by event date, so that a reader of some days opens only those.
+
+    Rows of a date are brought together first, and dates with very many rows are split
+    again, which keeps the files few and of even size.
+    """
+    dated = events.withColumn("event_date", F.to_date("event_time")).hint("rebalance", "event_date")
     dated.write.partitionBy("event_date").mode("errorifexists").parquet(path)

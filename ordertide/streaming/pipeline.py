@@ -1,5 +1,7 @@
 """The six streaming queries of the platform, each with its own sink and checkpoint."""
 
+from pyspark.sql import functions as F
+
 from ordertide.operators.windows import anomaly_zones, orders_hopping_kpi, orders_tumbling_kpi, zone_health
 from ordertide.schemas import COURIER_FEED, ORDER_FEED
 from ordertide.sources.decode import decode_feed
@@ -34,14 +36,19 @@ def start_pipeline(order_topic, courier_topic, output, checkpoints, interval="10
     orders = read_events(order_topic, ORDER_FEED)
     couriers = read_events(courier_topic, COURIER_FEED)
     hopping = read_events(order_topic, ORDER_FEED, "20 minutes")
-    return start_all(kpi_streams(orders, couriers, hopping, marked=True), output, checkpoints, interval)
-
-
-def start_all(streams, output, checkpoints, interval=None):
-    return {
-        name: start_parquet(stream, f"{output}/{name}", f"{checkpoints}/{name}", interval, name)
-        for name, stream in streams.items()
-    }
+    streams = kpi_streams(orders, couriers, hopping, marked=True)
+    return start_all(streams, output, checkpoints, interval, by_date=True)
+
+
+def start_all(streams, output, checkpoints, interval=None, by_date=False):
+    """Start each stream into a folder of its name, raw feeds by event date if asked."""
+    queries = {}
+    for name, stream in streams.items():
+        dates = ()
+        if by_date and "event_time" in stream.columns:
+            stream, dates = stream.withColumn("event_date", F.to_date("event_time")), ("event_date",)
+        queries[name] = start_parquet(stream, f"{output}/{name}", f"{checkpoints}/{name}", interval, name, dates)
+    return queries
 
 
 def stop_all(queries):

@@ -44,7 +44,7 @@ def stream_courier_sessions(couriers, gap_minutes=_GAP_MINUTES, delay="15 minute
     return _finish(sessions)
 
 
-def courier_sessions(couriers, gap_minutes=_GAP_MINUTES, slice_minutes=360):
+def courier_sessions(couriers, gap_minutes=_GAP_MINUTES, slice_minutes=30):
     """The same sessions in batch, without one task per courier.
 
     Events are first grouped into runs inside slices of time, which spreads a busy

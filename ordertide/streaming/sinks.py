@@ -1,7 +1,7 @@
 """Parquet sinks for streaming queries."""
 
 
-def start_parquet(stream, path, checkpoint, interval=None, name=None):
+def start_parquet(stream, path, checkpoint, interval=None, name=None, partition_by=()):
     """Append a stream to a Parquet folder.
 
     With an interval the query runs on; without one it takes everything that is
@@ -15,6 +15,8 @@ def start_parquet(stream, path, checkpoint, interval=None, name=None):
     )
     if name:
         writer = writer.queryName(name)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return writer.trigger(**trigger).start()
 
