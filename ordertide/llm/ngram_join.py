@@ -7,11 +7,15 @@ shingles known to be frequent last, then by hash. Linked sets share a shingle am
 1. Shingles in the low part of the hash range are counted over all documents. The counts give
    two Bloom filters of bounded size: frequent shingles (they define the order, so a false hit
    only changes the order, for all documents alike) and shingles of more than one document.
-2. Each text becomes its ordered set. Equal sets are one class, represented by its smallest id.
-3. Classes that share their first possible shingle meet in blocks of bounded size, where a
-   prefix tree finds links. This joins groups of near copies at little cost.
+2. Each text becomes a light row: set size, the first possible shingles that others share, and a
+   bitmap of the parity of its shingle hashes. Equal sets are one class, under its smallest id.
+3. Classes that share one of their first few shingles, and a size range, meet in blocks of
+   bounded size. The bits in which two bitmaps differ are a lower bound of the symmetric
+   difference, so most pairs are ruled out without their sets; classes with a partner left get
+   their sets, and a prefix tree over the block's sets finds links. This joins groups of near
+   copies at little cost.
 4. Whatever shingle of any prefix is still shared by different components brings their classes
-   together again, block against block, until every possible link has been judged.
+   together again, block against block, until every possible link has been judged likewise.
 
 No group is collected whole: a shingle's classes are cut in blocks of ``BLOCK``, members of
 its largest component meet only classes outside it. Defined cases: no words, empty and null
@@ -40,6 +44,12 @@ FREQUENT = 200
 BLOCK = 256
 #: 64-bit words of the Bloom filters: frequent shingles, and at most so many for shared ones.
 FREQUENT_WORDS, SHARED_WORDS = 1 << 16, 1 << 22
+#: 64-bit words of the filter over ids whose sets are wanted.
+FILTER_WORDS = 1 << 19
+#: Shingles of a prefix that bring near copies together first.
+FIRST = 3
+#: First shingles that a row carries, to see whether two classes have met before.
+HEAD = 8
 #: Shingles of a tree edge that are compared before the bound is tested again.
 PIECE = 64
 
@@ -117,50 +127,84 @@ def token_counts(docs):
     return counts.groupBy("token").agg(F.sum("n").alias("n")).where("n > 1")
 
 
-def ordered_sets(docs, frequent, shared):
+def _ordered(chunk, frequent):
+    """Shingles of each document in the global order: (hashes, order keys, documents)."""
+    tokens, owner = _sets(chunk)
+    keys = np.where(_has(frequent, tokens), tokens | _FREQUENT_BIT, tokens)
+    order = np.lexsort((keys, owner))
+    return tokens[order], keys[order], owner[order]
+
+
+def _binary(values, counts):
+    """A binary column from the values of all rows, one after the other, ``counts`` for each."""
+    ends = np.concatenate(([0], np.cumsum(counts * values.itemsize))).astype(np.int32)
+    return pa.Array.from_buffers(
+        pa.binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(values))]
+    )
+
+
+def _parities(tokens, owner, n):
+    """Bitmaps of the parity of hashed shingles; a document's has the power of two of at least n bits."""
+    bits = np.left_shift(1, np.ceil(np.log2(np.maximum(n, 64))).astype(np.int64))
+    first = np.cumsum(bits) - bits
+    at = first[owner] + (mix(tokens + np.uint64(1)) & (bits[owner] - 1).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount(at, minlength=int(bits.sum())) & 1
+    return _binary(np.packbits(odd.astype(bool), bitorder="little"), bits // 8)
+
+
+def light_rows(docs, frequent, shared):
     """One row per document: n, two sums that identify the set, the prefix shingles that others may
-    share (``live``), and the ordered set as bytes where there are any. The filters are broadcast."""
+    share (``live``) and the parity bitmap. The filters are broadcast."""
     context = docs.sparkSession.sparkContext
     frequent, shared = context.broadcast(frequent), context.broadcast(shared)
 
     def run(batches):
         for batch in batches:
             for at, to, chunk in chunks(batch):
-                tokens, owner = _sets(chunk)
-                keys = np.where(_has(frequent.value, tokens), tokens | _FREQUENT_BIT, tokens)
-                order = np.lexsort((keys, owner))
-                tokens, keys, owner = tokens[order], keys[order], owner[order]
+                tokens, keys, owner = _ordered(chunk, frequent.value)
                 n = np.bincount(owner, minlength=chunk.n)
                 first = np.concatenate(([0], np.cumsum(n)))
-                rank = np.arange(len(owner)) - first[owner]
-                live = rank < prefix_length(n)[owner]
+                live = np.arange(len(owner)) - first[owner] < prefix_length(n)[owner]
                 live &= (tokens >= _RANGE) | _has(shared.value, tokens)
-                n_live = np.bincount(owner[live], minlength=chunk.n)
+                lists = np.concatenate(([0], np.cumsum(np.bincount(owner[live], minlength=chunk.n))))
                 sums = []
-                for salt in (1, 2):
-                    run_sum = np.concatenate(([np.uint64(0)], np.cumsum(mix(tokens * np.uint64(2 * salt + 1)), dtype=np.uint64)))
-                    sums.append((run_sum[first[1:]] - run_sum[first[:-1]]).view(np.int64))
-                wanted = n_live > 0
-                held = np.concatenate(([0], np.cumsum(np.where(wanted, n, 0) * 8))).astype(np.int32)
-                lists = np.concatenate(([0], np.cumsum(n_live))).astype(np.int32)
-                data = np.ascontiguousarray(keys[wanted[owner]])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(at, to - at),
-                        pa.array(n),
-                        pa.array(sums[0]),
-                        pa.array(sums[1]),
-                        pa.ListArray.from_arrays(pa.array(lists), pa.array(tokens[live].view(np.int64))),
-                        pa.Array.from_buffers(pa.binary(), chunk.n, [None, pa.py_buffer(held), pa.py_buffer(data)]),
-                    ],
-                    ["doc_id", "n", "sum1", "sum2", "live", "keys"],
-                )
+                for salt in (3, 5):
+                    total = np.cumsum(mix(tokens * np.uint64(salt)), dtype=np.uint64)
+                    total = np.concatenate((np.zeros(1, np.uint64), total))
+                    sums.append((total[first[1:]] - total[first[:-1]]).view(np.int64))
+                live = pa.array(tokens[live].view(np.int64))
+                columns = [batch.column(0).slice(at, to - at), pa.array(n), *map(pa.array, sums)]
+                columns.append(pa.ListArray.from_arrays(pa.array(lists.astype(np.int32)), live))
+                columns.append(_parities(tokens, owner, n))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "sum1", "sum2", "live", "bits"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, n bigint, sum1 bigint, sum2 bigint, live array<bigint>, keys binary"
+    schema = f"doc_id {kind}, n bigint, sum1 bigint, sum2 bigint, live array<bigint>, bits binary"
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
+def sets_of(docs, ids, frequent):
+    """cls and the ordered set as bytes of the documents with an id in ``ids`` (column cls).
+
+    A Bloom filter of bounded size spares the other texts; false hits go with the next join.
+    """
+    context = docs.sparkSession.sparkContext
+    wanted = context.broadcast(bloom_of(ids.select(F.col("cls").cast("long").alias("token")), FILTER_WORDS))
+    frequent = context.broadcast(frequent)
+
+    def run(batches):
+        for batch in batches:
+            hit = _has(wanted.value, batch.column(0).cast(pa.int64()).to_numpy().view(np.uint64))
+            batch = batch.filter(pa.array(hit))
+            for at, to, chunk in chunks(batch):
+                _, keys, owner = _ordered(chunk, frequent.value)
+                sets = _binary(keys, np.bincount(owner, minlength=chunk.n))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), sets], ["cls", "keys"])
+
+    schema = f"cls {dict(docs.dtypes)['doc_id']}, keys binary"
+    return docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(run, schema)
+
+
 class PrefixTree:
     """Ordered sets as a tree whose edges hold what several sets have in common from the start.
 
@@ -249,55 +293,155 @@ def block_links(block):
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
-def _block(classes):
-    return F.pmod(F.xxhash64("cls"), classes)
+GROUP = ["key", "kind", "i", "j"]
+
+
+def _differing(bits, a, b):
+    """In how many bits the bitmaps of rows a and b differ at least; the wider one is folded."""
+    out = np.zeros(len(a), np.int64)
+    size = np.array([len(x) for x in bits])
+    wide = np.maximum(size[a], size[b])
+    for w in np.unique(wide).tolist():
+        here = np.flatnonzero(wide == w)
+        narrow = np.minimum(size[a[here]], size[b[here]])
+        for v in np.unique(narrow).tolist():
+            pair = here[narrow == v]
+            both = []
+            for side in (a[pair], b[pair]):
+                rows = [np.bitwise_xor.reduce(np.frombuffer(bits[k], np.uint64).reshape(-1, v // 8), axis=0) for k in side]
+                both.append(np.stack(rows))
+            out[pair] = np.bitwise_count(both[0] ^ both[1]).sum(axis=1)
+    return out
+
+
+def partners(rows):
+    """The rows of blocks that may link with a row of another component of their block.
+
+    Rows: GROUP, cls, comp, n, bits, pos (of the shingle among the class's), step (0 or 1: the
+    size range), head (its first shingles). Two classes are skipped where they meet a second time.
+    """
+    names = [*GROUP, "cls", "comp"]
+
+    def judged(table):
+        group = table.select(GROUP).to_pandas().to_numpy()
+        change = np.any(group[1:] != group[:-1], axis=1)
+        start = np.concatenate(([0], np.cumsum(change)))
+        cls, comp, n, pos, step = (table.column(c).to_numpy() for c in ("cls", "comp", "n", "pos", "step"))
+        bits = table.column("bits").to_pylist()
+        heads = np.full((len(n), HEAD), -1, np.int64)
+        for k, h in enumerate(table.column("head").to_pylist()):
+            heads[k, : len(h)] = h
+        keep = np.zeros(len(n), bool)
+        for gap in range(1, int(np.bincount(start).max())):
+            a = np.flatnonzero(start[:-gap] == start[gap:])
+            b = a + gap
+            fit = (comp[a] != comp[b]) & (cls[a] != cls[b]) & (step[a] + step[b] < 2)
+            fit &= OF * np.minimum(n[a], n[b]) >= NEED * np.maximum(n[a], n[b])
+            a, b = a[fit], b[fit]
+            if not len(a):
+                continue
+            same = (heads[a][:, :, None] == heads[b][:, None, :]) & (heads[a] >= 0)[:, :, None]
+            before = np.any(same.any(axis=2) & (np.arange(HEAD) < pos[a][:, None]), axis=1)
+            a, b = a[~before], b[~before]
+            total = n[a] + n[b]
+            near = _differing(bits, a, b) <= total - 2 * least_overlap(n[a], n[b])
+            keep[a[near]] = keep[b[near]] = True
+        return table.filter(pa.array(keep)).select(names)
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            ends = [held.column(c).combine_chunks() for c in GROUP]
+            last = [e[-1].as_py() for e in ends]
+            inside = np.ones(len(held), bool)
+            for e, v in zip(ends, last, strict=True):
+                inside &= e.to_numpy() == v
+            cut = int(len(held) - inside.sum())  # the last block may go on
+            if cut:
+                yield from judged(held.slice(0, cut).combine_chunks()).to_batches()
+                held = held.slice(cut).combine_chunks()
+        if held is not None and len(held):
+            yield from judged(held.combine_chunks()).to_batches()
+
+    rows = rows.repartition(*GROUP).sortWithinPartitions(*GROUP)
+    rows = rows.select(*names, "n", "bits", "pos", "step", "head")
+    return rows.mapInArrow(run, "key bigint, kind int, i bigint, j bigint, cls bigint, comp bigint")
+
+
+def verified(docs, frequent, left):
+    """Links between rows of one block, found by a prefix tree over their sets."""
+    left = saved(left, "partners")
+    sets = sets_of(docs, left.select("cls").distinct(), frequent)
+    groups = left.join(sets, "cls").groupBy(*GROUP)
+    return saved(groups.applyInPandas(lambda p: block_links(p), "a bigint, b bigint"), "found-links")
 
 
 def _cut(n):
     return F.greatest(F.ceil(n / BLOCK), F.lit(1)).cast("long")
 
 
-def first_links(reps):
-    """Links between classes that have the same first live shingle, in blocks of a bounded size."""
-    rows = reps.select("cls", F.col("cls").alias("comp"), "keys", F.col("live")[0].alias("token"))
-    sizes = rows.groupBy("token").agg(F.count("*").alias("k"))
-    many = sizes.where(F.col("k") > BLOCK)
-    rows = rows.join(many, "token", "left").withColumn("block", _block(_cut(F.coalesce("k", F.lit(1)))))
-    return rows.groupBy("token", "block").applyInPandas(lambda p: block_links(p), "a bigint, b bigint")
+def _part(parts, salt=0):
+    return F.pmod(F.xxhash64("cls", F.lit(salt)), parts)
 
 
-def open_links(reps, found):
-    """Links between classes of different components that share any live shingle."""
-    rows = reps.select("cls", F.explode("live").alias("token"))
-    rows = rows.join(found.withColumnRenamed("node", "cls"), "cls", "left")
-    rows = rows.select("cls", "token", F.coalesce("root", "cls").alias("comp"))
-    sizes = rows.groupBy("token", "comp").agg(F.count("*").alias("k"))
-    open_tokens = sizes.groupBy("token").agg(
+def _meeting(reps):
+    """cls, key, pos and step: a row for each live shingle and each of the two size ranges of a class.
+
+    Sizes of linked sets differ by a factor of 1.25 at most, so their ranges are equal or next to
+    each other, and they share a key.
+    """
+    size = F.floor(F.log(1.2501, "n")).cast("long")
+    rows = reps.select("cls", size.alias("size"), F.posexplode("live").alias("pos", "token"))
+    rows = rows.select("cls", "size", "pos", "token", F.explode(F.array(F.lit(0), F.lit(1))).alias("step"))
+    return rows.select("cls", F.xxhash64("token", F.col("size") + F.col("step")).alias("key"), "pos", "step")
+
+
+def _with_bits(rows, reps):
+    light = reps.select("cls", "n", "bits", F.slice("live", 1, HEAD).alias("head"))
+    return rows.join(light, "cls")
+
+
+def first_partners(reps):
+    """Classes that share one of their first live shingles, in blocks, each shingle cut differently."""
+    rows = _meeting(reps).where(F.col("pos") < FIRST)
+    sizes = rows.groupBy("key").agg(F.count("*").alias("k")).where("k > 1")
+    rows = rows.join(sizes, "key").select("key", "cls", F.col("cls").alias("comp"), "pos", "step", "k")
+    block = F.pmod(F.xxhash64("cls", "pos"), _cut(F.col("k")))
+    rows = rows.withColumns({"kind": F.lit(0), "i": block, "j": F.lit(0).cast("long")}).drop("k")
+    return partners(_with_bits(rows, reps))
+
+
+def open_partners(reps, found):
+    """Classes of different components that share any live shingle, block against block."""
+    rows = _meeting(reps).join(found.withColumnRenamed("node", "cls"), "cls", "left")
+    rows = rows.select("cls", "key", "pos", "step", F.coalesce("root", "cls").alias("comp"))
+    sizes = rows.groupBy("key", "comp").agg(F.count("*").alias("k"))
+    keys = sizes.groupBy("key").agg(
         F.count("*").alias("comps"), F.sum("k").alias("all"), F.max(F.struct("k", "comp")).alias("main")
     )
-    open_tokens = open_tokens.where("comps > 1").select(
-        "token",
+    keys = keys.where("comps > 1").select(
+        "key",
         F.col("main.comp").alias("main"),
         _cut(F.col("main.k")).alias("mains"),
         _cut(F.col("all") - F.col("main.k")).alias("others"),
     )
-    rows = saved(rows.join(open_tokens, "token"), "open-shingles")
+    rows = rows.join(keys, "key")
     inside, outside = F.col("comp") == F.col("main"), F.col("comp") != F.col("main")
+    fixed = ["key", "cls", "comp", "pos", "step"]
 
-    def to(other):
-        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))
+    def to(parts):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(parts) - 1))
 
-    own = rows.withColumn("b", F.when(inside, _block(F.col("mains"))).otherwise(_block(F.col("others"))))
-    meet = own.where(inside).select("cls", "comp", "token", F.lit(0).alias("kind"), F.col("b").alias("i"), to("others").alias("j"))
-    meet = meet.unionByName(
-        own.where(outside).select("cls", "comp", "token", F.lit(0).alias("kind"), to("mains").alias("i"), F.col("b").alias("j"))
-    )
-    pairs = own.where(outside & (F.col("others") > 1)).select("cls", "comp", "token", "b", to("others").alias("o")).where("o <> b")
-    meet = meet.unionByName(
-        pairs.select("cls", "comp", "token", F.lit(1).alias("kind"), F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"))
-    )
-    meet = meet.join(reps.select("cls", "keys"), "cls")
-    return meet.groupBy("token", "kind", "i", "j").applyInPandas(lambda p: block_links(p), "a bigint, b bigint")
+    def meet(kind, rows, i, j):
+        return rows.select(*fixed, F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
+
+    out = meet(0, rows.where(inside), _part(F.col("mains")), to("others"))
+    out = out.unionByName(meet(0, rows.where(outside), to("mains"), _part(F.col("others"))))
+    pairs = rows.where(outside & (F.col("others") > 1)).select(*fixed, _part(F.col("others")).alias("b"), to("others").alias("o"))
+    out = out.unionByName(meet(1, pairs.where("b <> o"), F.least("b", "o"), F.greatest("b", "o")))
+    return partners(_with_bits(out, reps))
 
 
 def jaccard_components(docs):
@@ -306,16 +450,16 @@ def jaccard_components(docs):
     counts = saved(token_counts(docs), "shingle-counts")
     shared_words = min(SHARED_WORDS, 1 << max(10, int(counts.count() // 4).bit_length()))
     frequent = bloom_of(counts.where(F.col("n") > FREQUENT), FREQUENT_WORDS)
-    sets = saved(ordered_sets(docs, frequent, bloom_of(counts, shared_words)), "ordered-sets")
+    light = saved(light_rows(docs, frequent, bloom_of(counts, shared_words)), "light-rows")
     same = ["sum1", "sum2", "n"]
-    classes = sets.where("n > 0").groupBy(*same).agg(F.min("doc_id").alias("cls"))
-    reps = sets.where("size(live) > 0").join(classes, same).where("doc_id = cls").select("cls", "live", "keys")
-    reps = saved(reps, "class-sets")
-    links = saved(first_links(reps), "first-links")
+    classes = light.where("n > 0").groupBy(*same).agg(F.min("doc_id").alias("cls"))
+    reps = light.where("size(live) > 0").join(classes, same).where("doc_id = cls").select("cls", "n", "live", "bits")
+    reps = saved(reps, "classes")
+    links = verified(docs, frequent, first_partners(reps))
     found = components(links)
-    links = links.unionByName(open_links(reps, found))
+    links = links.unionByName(verified(docs, frequent, open_partners(reps, found)))
     roots = components(links)
-    out = sets.select("doc_id", *same).join(classes, same, "left").join(roots, F.col("cls") == F.col("node"), "left")
+    out = light.select("doc_id", *same).join(classes, same, "left").join(roots, F.col("cls") == F.col("node"), "left")
     return out.select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "cls", "doc_id").alias("component_id")
     )
