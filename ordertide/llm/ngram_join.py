@@ -107,9 +107,9 @@ def bloom_of(tokens, words):
                 )
 
     rows = tokens.select("token").mapInArrow(run, "word bigint, mask bigint")
-    rows = rows.groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()
+    rows = rows.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
     out = np.zeros(words, np.uint64)
-    out[rows["word"].to_numpy(np.int64)] = rows["mask"].to_numpy(np.int64).view(np.uint64)
+    out[rows.column("word").to_numpy()] = rows.column("mask").to_numpy().view(np.uint64)
     return out
 
 
@@ -448,7 +448,7 @@ def jaccard_components(docs):
     """doc_id, n_shingles and component_id of every document (rows with a null id included)."""
     docs = docs.select("doc_id", "text")
     counts = saved(token_counts(docs), "shingle-counts")
-    shared_words = min(SHARED_WORDS, 1 << max(10, int(counts.count() // 4).bit_length()))
+    shared_words = min(SHARED_WORDS, 1 << max(10, int(counts.count() // 8).bit_length()))
     frequent = bloom_of(counts.where(F.col("n") > FREQUENT), FREQUENT_WORDS)
     light = saved(light_rows(docs, frequent, bloom_of(counts, shared_words)), "light-rows")
     same = ["sum1", "sum2", "n"]
