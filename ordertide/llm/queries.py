@@ -5,7 +5,9 @@ from ordertide.llm.decontaminate import DECONTAMINATE_SQL, decontaminate_query
 from ordertide.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_query
 from ordertide.llm.ngram_join import NGRAM_JOIN_SQL, ngram_join_query
 from ordertide.llm.quality_rules import rules_query
+from ordertide.llm.repeats import repeats_query
 from ordertide.llm.sentencepiece_bpe import sentencepiece_query
+from ordertide.llm.token_shards import shards_query
 from ordertide.llm.toxicity import toxicity_query
 from ordertide.llm.url_filter import URL_SQL, url_query
 
@@ -16,7 +18,9 @@ QUERIES = {
     "op4_url_filter": url_query,
     "op5_line_dedup": line_dedup_query,
     "op6_sentencepiece": sentencepiece_query,
+    "op7_repeats": repeats_query,
     "op8_quality_rules": rules_query,
+    "op9_token_shards": shards_query,
     "op10_ngram_join": ngram_join_query,
 }
 ORACLE = {
