@@ -26,7 +26,6 @@ from ordertide.constants import (
     WEEKEND_MULTIPLIER,
 )
 from ordertide.functions.columns import event_is, is_holiday, is_weekend, meal_period, minute_of_day
-from ordertide.session import small_side
 
 
 def route_lookup(events, matrix, origin, destination):
@@ -144,7 +143,7 @@ def match_multiplier(orders, multipliers):
         F.col("zone_id").alias("user_zone_id"), F.col("category").alias("restaurant_category"), "multiplier"
     )
     created = orders.filter(event_is("order_created"))
-    return created.join(small_side(keyed), ["user_zone_id", "restaurant_category"], "left").select(
+    return created.join(keyed, ["user_zone_id", "restaurant_category"], "left").select(
         "event_id",
         "order_id",
         "user_zone_id",
@@ -185,7 +184,7 @@ def promo_match(orders, hours):
         F.weekday("event_time").alias("weekday"),
         F.hour("event_time").alias("hour"),
     )
-    return created.join(small_side(hours), ["weekday", "hour", "category"], "left").select(
+    return created.join(hours, ["weekday", "hour", "category"], "left").select(
         "event_id", "order_id", "event_time", "category", "promo"
     )
 
@@ -221,7 +220,7 @@ def match_day_tag(orders, minutes, zone="user_zone_id"):
         F.weekday("event_time").alias("weekday"),
         minute_of_day(F.col("event_time")).alias("minute"),
     )
-    tagged = keyed.join(small_side(minutes), ["zone_id", "weekday", "minute"], "left")
+    tagged = keyed.join(minutes, ["zone_id", "weekday", "minute"], "left")
     return tagged.select(
         "event_id",
         "order_id",
@@ -253,11 +252,15 @@ def restaurant_weights(restaurants, multipliers, promo_categories, match_day=Tru
 
 
 def prep_pressure(orders, restaurants):
-    """Expected actual and estimated preparation time of created orders, and their gap."""
+    """Expected actual and estimated preparation time of created orders, and their gap.
+
+    An order of an unknown restaurant keeps its row, with the shortest time and no pressure.
+    """
     prep = restaurants.select("restaurant_id", "base_prep_time_mean_min", "latency_pressure_factor")
-    expected = F.greatest(F.lit(5.0), F.col("base_prep_time_mean_min") * F.col("latency_pressure_factor"))
+    pressure = F.coalesce("latency_pressure_factor", F.lit(1.0))
+    expected = F.greatest(F.lit(5.0), F.col("base_prep_time_mean_min") * pressure)
     estimate = F.greatest(F.lit(5.0), F.col("base_prep_time_mean_min"))
-    return orders.filter(event_is("order_created")).join(prep, "restaurant_id").select(
+    return orders.filter(event_is("order_created")).join(prep, "restaurant_id", "left").select(
         "event_id",
         "order_id",
         "restaurant_id",

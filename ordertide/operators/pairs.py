@@ -51,8 +51,3 @@ def stage_gap(orders, first_type, second_type):
 def weighted_mean(value, weight="pairs"):
     """Mean over pairings; null when there are none."""
     return F.try_divide(F.sum(F.col(value) * F.col(weight)), F.sum(weight))
-
-
-def expanded(pairs):
-    """One row per pairing, as a plain join of the raw events would give."""
-    return pairs.select("*", F.explode(F.sequence(F.lit(1), F.col("pairs"))).alias("_copy")).drop("_copy", "pairs")

@@ -217,7 +217,7 @@ def _assignments(couriers):
 
 
 def unassigned_orders(orders, couriers, minutes=15):
-    """Ready orders without a courier assignment in the given time after."""
+    """Ready orders without a courier assignment up to the given time after; an earlier one counts."""
     ready = (
         orders.filter(event_is("order_ready_for_pickup") & F.col("order_id").isNotNull())
         .groupBy("order_id")
@@ -225,7 +225,7 @@ def unassigned_orders(orders, couriers, minutes=15):
     )
     assigned = _assignments(couriers)
     waited = minutes_between(ready["ready_at"], assigned["assigned_at"])
-    in_time = (ready["order_id"] == assigned["order_id"]) & (waited >= 0) & (waited <= F.lit(float(minutes)))
+    in_time = (ready["order_id"] == assigned["order_id"]) & (waited <= F.lit(float(minutes)))
     return ready.join(assigned, in_time, "left_anti")
 
 

@@ -68,9 +68,9 @@ def rank_zones(rankings):
 
 
 def district_zones(events, zones, zone="user_zone_id"):
-    """Zone id to district name and back, per event."""
+    """Zone id to district name and back, per event; the first zone id of a district with several."""
     names = zones.select(F.col("zone_id").alias(zone), "district")
-    ids = zones.select("district", F.col("zone_id").alias("zone_of_district"))
+    ids = zones.groupBy("district").agg(F.min("zone_id").alias("zone_of_district"))
     return events.select("event_id", zone).join(names, zone, "left").join(ids, "district", "left")
 
 

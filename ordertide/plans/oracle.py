@@ -370,11 +370,12 @@ _SQL = {
     "event_time_ts": "SELECT event_id, event_time, read_at AS event_time_ts FROM dirty",
     "read_ndjson": f"SELECT * {_TEXT_REPLACE}, {_EPOCHS} FROM cou",
     "read_parquet_prefix": "SELECT * FROM ord",
+    "archive_by_date": """SELECT event_id, event_type, event_time FROM ord
+        WHERE CAST(event_time AS DATE) = DATE '2024-01-06'""",
     "load_with_fallback": "SELECT event_id, event_type, order_id, event_time FROM ord",
     "finalise_events": f"SELECT DISTINCT {_ORDER_COLUMNS} FROM (SELECT * {_MS_REPLACE} FROM ord)",
     "ref_zones": "SELECT * REPLACE (spawn_probability / (SELECT sum(spawn_probability) FROM zones) AS spawn_probability) FROM zones",
-    "ref_restaurants": """SELECT * FROM rest WHERE category IN ('burger', 'pizza', 'sushi', 'dessert')
-        ORDER BY restaurant_id LIMIT 500""",
+    "ref_restaurants": "SELECT * FROM rest",
     "ref_travel_matrix": "SELECT * FROM matrix",
     "ref_match_effects": "SELECT * FROM effects",
     "ref_adjacency": "SELECT * FROM adjacent UNION SELECT adjacent_district, district FROM adjacent",
@@ -426,10 +427,11 @@ _SQL = {
         END AS meal_period, CAST(hour(event_time) AS INTEGER) AS hour FROM ord""",
     "latest_day_flag": """SELECT event_id, order_id, event_type, event_time, CAST(event_time AS DATE) =
         (SELECT CAST(max(event_time) AS DATE) FROM ord WHERE event_type = 'order_created') AS on_latest_day FROM ord""",
-    "created_delivered": "SELECT * FROM cd",
+    "created_delivered": "SELECT *, count(*) AS pairs FROM cd GROUP BY ALL",
     "stage_gap": """SELECT a.order_id, a.event_time AS t_a, b.event_time AS t_b,
-        (epoch_us(b.event_time) - epoch_us(a.event_time)) / 6e7 AS gap_min FROM ord a JOIN ord b USING (order_id)
-        WHERE a.event_type = 'order_created' AND b.event_type = 'order_picked_up' AND b.event_time >= a.event_time""",
+        (epoch_us(b.event_time) - epoch_us(a.event_time)) / 6e7 AS gap_min, count(*) AS pairs
+        FROM ord a JOIN ord b USING (order_id) WHERE a.event_type = 'order_created' AND b.event_type = 'order_picked_up'
+        AND b.event_time >= a.event_time GROUP BY ALL""",
     "in_flight_orders": _FLIGHT.format(types=_ENDS),
     "in_flight_orders_system": _FLIGHT.format(types=_ENDS + ", 'order_cancelled_system'"),
     "zone_counts_outer": "SELECT * FROM zm",
@@ -678,7 +680,7 @@ _SQL = {
         WHERE actual_prep_time < q1 - (q3 - q1) * 0.25e0 OR actual_prep_time > q3 + (q3 - q1) * 0.25e0""",
     "unassigned_orders": """SELECT r.order_id, r.event_time AS ready_at, r.restaurant_zone_id AS zone_id FROM ord r
         WHERE r.event_type = 'order_ready_for_pickup' AND NOT EXISTS (SELECT 1 FROM cou a WHERE a.order_id = r.order_id
-          AND a.event_type = 'courier_assigned_order' AND a.event_time >= r.event_time
+          AND a.event_type = 'courier_assigned_order'
           AND a.event_time <= r.event_time + INTERVAL '15 minutes')""",
     "prep_sla": """SELECT restaurant_id, category, avg(CASE WHEN actual_prep_time <= estimated_prep_time THEN 1e0 ELSE 0e0 END) * 100 AS on_time_rate_pct,
         round(quantile_cont(actual_prep_time, 0.5), 9) AS p50_prep_min, round(quantile_cont(actual_prep_time, 0.95), 9) AS p95_prep_min, count(*) AS orders

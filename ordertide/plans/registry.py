@@ -187,13 +187,23 @@ def _(t):
 def _(t):
     path = saved(t, "events")
     sinks.write_events(t.spread(ORDER_FEED), path)
-    return readers.read_parquet_prefix(t.spark, path)
+    return readers.read_parquet_prefix(t.spark, path, t.orders.schema).select(*t.orders.columns)
+
+
+@query("archive_by_date")
+def _(t):
+    # One day of a raw feed; the filter reaches the folders of the dates.
+    path = saved(t, "archive")
+    sinks.write_events(t.spread(ORDER_FEED), path)
+    schema = t.orders.schema.add("event_date", "date")
+    days = readers.read_parquet_prefix(t.spark, path, schema).where(F.col("event_date") == F.lit(SHARE_DAY))
+    return days.select("event_id", "event_type", "event_time")
 
 
 @query("load_with_fallback")
 def _(t):
-    empty = t.orders.filter(F.lit(False))
-    return readers.load_with_fallback(empty, t.orders).select("event_id", "event_type", "order_id", "event_time")
+    absent = readers.read_parquet_prefix(t.spark, saved(t, "absent"), t.orders.schema)
+    return readers.load_with_fallback(absent, t.orders).select("event_id", "event_type", "order_id", "event_time")
 
 
 @query("finalise_events")
@@ -215,8 +225,7 @@ def _(t):
 @query("ref_restaurants")
 def _(t):
     path = _csv(t, t.restaurants, "restaurants")
-    kinds = ["burger", "pizza", "sushi", "dessert"]
-    return reference.read_restaurants(t.spark, path, categories=kinds, max_restaurants=500)
+    return reference.read_restaurants(t.spark, path)
 
 
 @query("ref_travel_matrix")
@@ -357,12 +366,12 @@ def _(t):
 
 @query("created_delivered")
 def _(t):
-    return pairs.expanded(pairs.created_delivered(t.orders))
+    return pairs.created_delivered(t.orders)
 
 
 @query("stage_gap")
 def _(t):
-    return pairs.expanded(pairs.stage_gap(t.orders, "order_created", "order_picked_up"))
+    return pairs.stage_gap(t.orders, "order_created", "order_picked_up")
 
 
 @query("in_flight_orders")

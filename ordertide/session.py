@@ -3,8 +3,6 @@
 import tempfile
 import uuid
 
-from pyspark.sql import functions as F
-
 _STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -40,12 +38,3 @@ def stream_session(spark, partitions=None):
     session.conf.set("spark.sql.streaming.stateStore.providerClass", _STATE_STORE)
     session.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     return session
-
-
-def small_side(table, max_rows=200_000):
-    """The table with a broadcast hint if it was counted to be small, else as it is.
-
-    Counting stops at the limit. Beyond it the join shuffles both sides, and adaptive
-    execution splits keys that hold too many rows.
-    """
-    return F.broadcast(table) if table.limit(max_rows + 1).count() <= max_rows else table

@@ -51,9 +51,9 @@ def messages(events, feed, payload="json"):
     record = FEEDS[feed][2]
     key = F.coalesce("order_id", "event_id") if feed == ORDER_FEED else F.coalesce("courier_id", "event_id")
     if payload == "avro":
-        rows = to_avro_record(events, feed).select(
-            key.cast("binary").alias("key"), record_struct_column(record).alias("row")
-        )
+        # the key is taken before blanks stand in for missing ids
+        kept = events.withColumn("_key", key.cast("binary"))
+        rows = to_avro_record(kept, feed, "_key").select(F.col("_key").alias("key"), record_struct_column(record).alias("row"))
         return rows.select("key", encode_avro(events.sparkSession, F.col("row"), record).alias("value"))
     rows = with_epoch_ms(events)
     return rows.select(key.cast("binary").alias("key"), F.to_json(F.struct(*rows.columns)).cast("binary").alias("value"))

@@ -18,20 +18,25 @@ def with_epoch_ms(events):
 
 
 def iso_times(events):
-    """Times as ISO text in UTC with milliseconds, the form of the JSON feed."""
+    """Times as ISO text in UTC with milliseconds, the form of the JSON feed, whatever the session zone."""
     form = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
-    return events.withColumns({name: F.date_format(name, form) for name in ("event_time", "ingestion_time")})
+    kinds = dict(events.dtypes)
+
+    def utc(name):  # in the session zone's clock, as date_format reads it
+        return F.to_utc_timestamp(name, F.current_timezone()) if kinds[name] == "timestamp" else F.col(name)
+
+    return events.withColumns({name: F.date_format(utc(name), form) for name in ("event_time", "ingestion_time")})
 
 
 # Text that stands for a missing value in a binary record.
 _RECORD_DEFAULTS = {"event_version": "1.0", "courier_status": "online"}
 
 
-def to_avro_record(events, feed):
-    """Events in the layout of the binary record of their feed."""
+def to_avro_record(events, feed, *kept):
+    """Events in the layout of the binary record of their feed, after the columns that are kept."""
     record = ORDER_RECORD if feed == ORDER_FEED else COURIER_RECORD
     defaults = {**_RECORD_DEFAULTS, "event_type": record_symbols(record)[0]}
-    columns = []
+    columns = list(kept)
     for name, kind in record:
         if kind == "long":
             value = epoch_ms(name)

@@ -37,6 +37,8 @@ def start_pipeline(order_topic, courier_topic, output, checkpoints, interval="10
     couriers = read_events(courier_topic, COURIER_FEED)
     hopping = read_events(order_topic, ORDER_FEED, "20 minutes")
     streams = kpi_streams(orders, couriers, hopping, marked=True)
+    # the archive keeps every event, however late; copies go when it is read (finalise_events)
+    streams |= {"orders": decode_feed(order_topic, ORDER_FEED), "couriers": decode_feed(courier_topic, COURIER_FEED)}
     return start_all(streams, output, checkpoints, interval, by_date=True)
 
 
