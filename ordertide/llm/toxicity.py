@@ -8,9 +8,10 @@ compound forms that a model of whole words would not know.
 
 The score compares the two log-likelihoods, normalised by the number of words; a logistic curve
 over the difference and its part from decisive words, fitted on labelled texts that were not
-counted, turns it into a chance. Memory is bounded whatever the corpus: of the runs that hash into
-one of ``SLOTS`` slots the most frequent keeps its counts while the others back off. Counting
-covers all labelled rows and grows with them.
+counted, turns it into a chance. The models are tables of all counts, whatever their size. Each
+distinct word of the scored texts is judged once, by joins with these tables. Texts then look up
+the most frequent words, at most ``OFTEN``, in memory; the others are joined. Since more than
+``OFTEN`` words are about as frequent or more so, none of these is a hot key.
 
 Defined cases: a null or empty text has no words and the score of the curve at no difference;
 unlabelled rows are scored, not counted; conflicting labels of an id count as the larger; labels
@@ -18,8 +19,11 @@ of one class only, or none, give every text a score of 0.5; repeated rows are sc
 columns are ignored.
 """
 
+from itertools import accumulate
+
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from ordertide.llm.ngram_join import _has, bloom_of
@@ -28,9 +32,12 @@ from ordertide.llm.text import FOLD, chunks
 
 #: Fixed values of the contract.
 FOLDS, HELD, CALLED_AT = 3, 1, 0.7
-#: Bytes of the longest run, slots for the runs of each order, and the discount of all orders.
-ORDER, SLOTS, DISCOUNT = 6, 1 << 20, 0.75
-LOWEST = 4
+#: Bytes of the longest run and of the shortest a class counts by itself, and the discount of all orders.
+ORDER, LOWEST, DISCOUNT = 6, 4, 0.75
+#: Words that a task looks up in memory; the rest is joined.
+OFTEN = 1 << 20
+#: Parts of the runs that open words, which many words share.
+SALTS = 16
 #: One labelled text in so many fits the curve instead of being counted, at most CURVE of them.
 APART, CURVE = 5, 6000
 FILTER_WORDS = 1 << 19
@@ -41,32 +48,40 @@ _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[65:91] = _WORD[97:123] = _WORD[128:] = True
 
 
-def word_runs(chunk):
+def distinct_words(chunk):
     """Words are runs of letters, digits and non-ASCII, without case.
 
-    Returns the distinct words' place for each word, the words' documents, and the runs of the
-    distinct words: packed bytes (up to the byte in question, padded before the first) and word.
+    Returns the distinct words' place for each word, the words' documents, and hash, start and size
+    of the distinct words.
     """
     chunk.solid = _WORD[chunk.data]
     starts, ends, docs = chunk.words()
-    if not len(starts):
-        none = np.zeros(0, np.int64)
-        return none, none, none, none
     names = chunk.hashes(starts, ends, chunk.prefix(fold=True))
-    _, first, which = np.unique(names, return_index=True, return_inverse=True)
-    starts, sizes = starts[first], (ends - starts)[first]
+    names, first, which = np.unique(names, return_index=True, return_inverse=True)
+    return which, docs, names.view(np.int64), starts[first], (ends - starts)[first]
+
+
+def _ramp(sizes):
+    """0, 1, .. size - 1 for each size, and the place of the size."""
+    place = np.repeat(np.arange(len(sizes)), sizes)
+    return np.arange(len(place)) - np.repeat(np.cumsum(sizes) - sizes, sizes), place
+
+
+def word_runs(chunk, starts, sizes):
+    """Packed runs (up to the byte in question, padded before the first) and the place of their word."""
+    if not len(starts):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     block = sizes + ORDER  # ORDER - 1 bytes of padding, the word, an end
     last = np.cumsum(block)
     flat = np.ones(last[-1], np.int64)
-    at = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    flat[np.repeat(last - block + ORDER - 1, sizes) + at] = FOLD[chunk.data][np.repeat(starts, sizes) + at]
+    at, word = _ramp(sizes)
+    flat[(last - block + ORDER - 1)[word] + at] = FOLD[chunk.data][starts[word] + at]
     flat[last - 1] = 2
-    runs = sizes + 1
-    place = np.arange(int(runs.sum())) - np.repeat(np.cumsum(runs) - runs, runs) + np.repeat(last - block, runs)
-    key = np.zeros(len(place), np.int64)
+    at, word = _ramp(sizes + 1)
+    key = np.zeros(len(at), np.int64)
     for k in range(ORDER):
-        key = (key << 8) | flat[place + k]
-    return which, docs, key, np.repeat(np.arange(len(first)), runs)
+        key = (key << 8) | flat[(last - block)[word] + at + k]
+    return key, word
 
 
 def training_texts(docs, labels, label="toxic", folds=FOLDS, held=HELD):
@@ -96,9 +111,10 @@ def run_counts(texts):
         for batch in batches:
             labels = batch.column(1).to_numpy() > 0
             for at, to, chunk in chunks(batch):
-                which, docs, key, word = word_runs(chunk)
+                which, docs, names, starts, sizes = distinct_words(chunk)
+                key, word = word_runs(chunk, starts, sizes)
                 toxic = labels[at:to][docs]
-                n = [np.bincount(which[toxic == c], minlength=which.max() + 1 if len(which) else 0) for c in (False, True)]
+                n = [np.bincount(which[toxic == c], minlength=len(names)) for c in (False, True)]
                 key, same = np.unique(key, return_inverse=True)
                 sums = [np.bincount(same, m[word], len(key)).astype(np.int64) for m in n]
                 yield pa.RecordBatch.from_arrays([pa.array(key), *map(pa.array, sums)], ["run", "n0", "n1"])
@@ -107,93 +123,163 @@ def run_counts(texts):
     return counts.groupBy("run").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
-def _kept(table):
-    """At most SLOTS rows of a table of run and numbers, as arrays sorted by run."""
-    names = [c for c in table.columns if c != "run"]
-    best = F.max(F.struct((F.col(names[0]) + F.col(names[1])).alias("all"), "run", *names[2:], *names[:2])).alias("m")
-    rows = table.groupBy(F.pmod(F.xxhash64("run"), F.lit(SLOTS)).alias("slot")).agg(best)
-    rows = rows.select("m.run", *(f"m.{c}" for c in names)).toArrow()
-    order = np.argsort(rows.column("run").to_numpy())
-    return [rows.column(c).to_numpy()[order] for c in ("run", *names)]
+def _last(n):
+    """The last n bytes of a run."""
+    return F.col("run").bitwiseAND((1 << 8 * n) - 1)
+
+
+def _context():
+    return F.shiftright("run", 8).alias("context")
 
 
 def fit(counts):
-    """The two models as arrays of bounded size, or None if a class has no word.
+    """Tables of all counts, from the shared order to the longest, or None if a class has no word.
 
-    counts: rows of run_counts. Lower orders count in how many longer runs a run is found. All
-    sums are Spark aggregations; the driver gets at most one row for each slot.
+    counts: rows of run_counts. Lower orders count in how many longer runs a run is found.
     """
-    classes = counts.agg(F.sum("n0"), F.sum("n1")).first()
-    if not all(classes):
+    if not all(counts.agg(F.sum("n0"), F.sum("n1")).first()):
         return None
-    level, orders = counts, []
-    for order in range(ORDER, LOWEST - 1, -1):
-        less = [F.sum(F.least(F.col(c).cast("double"), F.lit(DISCOUNT))).alias(f"d{c[1]}") for c in ("n0", "n1")]
-        context = F.shiftright("run", 8).alias("run")
-        heads = level.groupBy(context).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), *less)
-        orders.append((_kept(level), _kept(heads)))
-        short = F.col("run").bitwiseAND((1 << 8 * (order - 1)) - 1).alias("run")
-        if order > LOWEST:
-            level = saved(
-                level.groupBy(short).agg(*(F.count(F.when(F.col(c) > 0, 1)).alias(c) for c in ("n0", "n1"))),
-                "run-counts",
-            )
-    base = level.groupBy(short).agg(F.count("*").alias("n0")).withColumn("n1", F.lit(0).cast("long"))
-    heads = base.groupBy(F.shiftright("run", 8).alias("run")).agg(F.sum("n0").alias("n0"), F.count("*").alias("n1"))
-    return {"orders": orders, "base": (_kept(base), _kept(heads))}
-
-
-def _find(table, keys):
-    """Row of each key in a table of _kept, and whether it is there."""
-    run = table[0]
-    if not len(run):
-        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-    at = np.minimum(np.searchsorted(run, keys), len(run) - 1)
-    return at, run[at] == keys
-
-
-def run_ratios(model, keys):
-    """log P(last byte | run before it, toxic) - the same for ordinary, of each run."""
-    runs, heads = model["base"]
-    short = keys & ((1 << 8 * (LOWEST - 1)) - 1)
-    at, there = _find(runs, short)
-    top, known = _find(heads, short >> 8)
-    whole = np.maximum(heads[1][top], 1)
-    p = np.where(there, np.maximum(runs[1][at] - DISCOUNT, 0), 0) + DISCOUNT * heads[2][top] / 256
-    shared = np.where(known, p / whole, 1 / 256)
-    logs = []
-    for c in (0, 1):
-        p = shared
-        for order, (runs, heads) in zip(range(LOWEST, ORDER + 1), reversed(model["orders"]), strict=True):
-            short = keys & ((1 << 8 * order) - 1)
-            at, there = _find(runs, short)
-            top, known = _find(heads, short >> 8)
-            whole = heads[1 + c][top]
-            known = known & (whole > 0)
-            own = np.where(there, np.maximum(runs[1 + c][at] - DISCOUNT, 0), 0)
-            p = np.where(known, (own + heads[3 + c][top] * p) / np.maximum(whole, 1), p)
-        logs.append(np.log(np.maximum(p, 1e-30)))
-    return logs[1] - logs[0]
-
-
-def log_ratios(model, chunk):
-    """Per document: the mean log ratio of its words, the mean of the part above ``STRONG``, and the
-    number of words."""
-    which, docs, key, word = word_runs(chunk)
-    count = np.bincount(docs, minlength=chunk.n)
-    if not len(which):
-        return np.zeros(chunk.n), np.zeros(chunk.n), count
-    key, same = np.unique(key, return_inverse=True)
-    ratio = np.bincount(word, run_ratios(model, key)[same])[which]
-    size = np.maximum(count, 1)
-    strong = np.maximum(ratio - STRONG, 0)
-    return np.bincount(docs, ratio, chunk.n) / size, np.bincount(docs, strong, chunk.n) / size, count
-
-
-def _inputs(ratio, strong, count):
+    levels = [counts]
+    for order in range(ORDER - 1, LOWEST - 1, -1):
+        kinds = (F.count(F.when(F.col(c) > 0, 1)).alias(c) for c in ("n0", "n1"))
+        levels.append(saved(levels[-1].groupBy(_last(order).alias("run")).agg(*kinds), "run-counts"))
+    shared = levels[-1].groupBy(_last(LOWEST - 1).alias("run")).agg(F.count("*").alias("n"))
+    return [saved(shared, "run-counts"), *reversed(levels)]
+
+
+def run_ratios(model, runs):
+    """run and ratio: log P(last byte | run before it, toxic) - the same for ordinary, of distinct runs."""
+    shared, *levels = model
+    heads = shared.groupBy(_context()).agg(F.sum("n").alias("whole"), F.count("*").alias("kinds"))
+    need = runs.select(_last(LOWEST - 1).alias("run")).distinct().withColumn("context", _context())
+    need = need.join(shared, "run", "left").join(heads, "context", "left")
+    own = F.coalesce(F.col("n") - DISCOUNT, F.lit(0.0))
+    p = F.coalesce((own + F.col("kinds") * (DISCOUNT / 256)) / F.col("whole"), F.lit(1 / 256))
+    chances = saved(need.select("run", p.alias("p0"), p.alias("p1")), "run-chances")
+    for order, level in enumerate(levels, LOWEST):
+        wholes = [F.sum(f"n{c}").alias(f"whole{c}") for c in (0, 1)]
+        less = [F.sum(F.when(F.col(f"n{c}") > 0, DISCOUNT).otherwise(0.0)).alias(f"less{c}") for c in (0, 1)]
+        heads = level.groupBy(_context()).agg(*wholes, *less)
+        need = runs.select(_last(order).alias("run")).distinct()
+        need = need.select("run", _context(), _last(order - 1).alias("short"))
+        need = need.join(level, "run", "left").join(heads, "context", "left")
+        need = need.join(chances.withColumnRenamed("run", "short"), "short")
+        ps = []
+        for c in (0, 1):
+            n, whole, left, p = (F.col(f"{name}{c}") for name in ("n", "whole", "less", "p"))
+            own = F.greatest(F.coalesce(n, F.lit(0)) - DISCOUNT, F.lit(0.0))
+            ps.append(F.when(whole > 0, (own + left * p) / whole).otherwise(p).alias(f"p{c}"))
+        chances = saved(need.select("run", *ps), "run-chances")
+    logs = [F.log(F.greatest(F.col(c), F.lit(1e-30))) for c in ("p0", "p1")]
+    return chances.select("run", (logs[1] - logs[0]).alias("ratio"))
+
+
+def vocabulary(docs):
+    """word (a hash), text and n, the number of occurrences, of each distinct word."""
+
+    def run(batches):
+        for batch in batches:
+            for _, _, chunk in chunks(batch):
+                which, _, names, starts, sizes = distinct_words(chunk)
+                ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+                at, word = _ramp(sizes)
+                spelt = FOLD[chunk.data][starts[word] + at].tobytes()
+                spelt = pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(ends), pa.py_buffer(spelt))
+                n = np.bincount(which, minlength=len(names))
+                columns = [pa.array(names), spelt.cast(pa.string()), pa.array(n.astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["word", "text", "n"])
+
+    rows = docs.select("text").mapInArrow(run, "word bigint, text string, n bigint")
+    return rows.groupBy("word", "text").agg(F.sum("n").alias("n"))
+
+
+def word_pieces(words):
+    """word, n, run and times of each distinct run of each row of ``vocabulary``."""
+
+    def run(batches):
+        for batch in batches:
+            word, n = (batch.column(i).to_numpy() for i in (0, 2))
+            for at, to, chunk in chunks(batch):
+                sizes = np.diff(chunk.offsets)
+                key, place = word_runs(chunk, chunk.offsets[:-1], sizes)
+                order = np.lexsort((key, place))
+                key, place = key[order], place[order]
+                new = np.flatnonzero(np.diff(key, prepend=-1) | np.diff(place, prepend=-1))
+                times = np.diff(new, append=len(key)).astype(np.int64)
+                columns = [word[at:to][place[new]], n[at:to][place[new]], key[new], times]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["word", "n", "run", "times"])
+
+    return words.mapInArrow(run, "word bigint, n bigint, run bigint, times bigint")
+
+
+def word_ratios(model, docs):
+    """word, ratio (the sum over its runs) and bin (of the frequency, eight to a factor of two)."""
+    pieces = saved(word_pieces(vocabulary(docs)), "word-runs")
+    ratios = run_ratios(model, saved(pieces.select("run").distinct(), "runs"))
+    opens = F.shiftright("run", 8 * (ORDER - 1)) == 1
+    part = F.when(opens, F.pmod("word", F.lit(SALTS))).otherwise(0).cast("int")
+    parts = F.when(opens, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    found = pieces.withColumn("part", part).join(ratios.withColumn("part", F.explode(parts)), ["run", "part"])
+    words = found.groupBy("word").agg(F.sum(F.col("ratio") * F.col("times")).alias("ratio"), F.max("n").alias("n"))
+    freq = F.floor(F.log2("n") * 8).cast("int").alias("bin")
+    return saved(words.select("word", F.round("ratio", 9).alias("ratio"), freq), "word-ratios")
+
+
+def measured(model, rows, often=OFTEN):
+    """The columns of rows but text, the mean log ratio of the words, the mean of the part above
+    ``STRONG``, and the number of words."""
+    table = word_ratios(model, rows)
+    sizes = table.groupBy("bin").count().orderBy(F.desc("bin")).collect()  # a few hundred rows
+    fits = sum(total <= often for total in accumulate(r["count"] for r in sizes))
+    least = sizes[fits - 1]["bin"] if fits else 1 << 30
+    known = table.where(F.col("bin") >= least).select("word", "ratio").toArrow()
+    known = [known.column(c).to_numpy() for c in ("word", "ratio")]
+    known = rows.sparkSession.sparkContext.broadcast([k[np.argsort(known[0])] for k in known])
+    others = [c for c in rows.columns if c != "text"]
+
+    def run(batches):
+        words, ratios = known.value
+        row = TaskContext.get().partitionId() << 36
+        for batch in batches:
+            for at, to, chunk in chunks(batch):
+                which, docs, names, _, _ = distinct_words(chunk)
+                place = np.minimum(np.searchsorted(words, names), max(len(words) - 1, 0))
+                there = words[place] == names if len(words) else np.zeros(len(names), bool)
+                ratio = np.where(there, ratios[place] if len(words) else 0.0, 0.0)[which]
+                sums = [np.bincount(docs, v, chunk.n) for v in (ratio, np.maximum(ratio - STRONG, 0))]
+                sums.append(np.bincount(docs, minlength=chunk.n).astype(np.int64))
+                rare = ~there[which]
+                pairs = np.column_stack((docs[rare], which[rare]))
+                pairs, n = np.unique(pairs, axis=0, return_counts=True) if len(pairs) else (pairs, pairs[:, 0])
+                items = [pa.array(names[pairs[:, 1]]), pa.array(n.astype(np.int64))]
+                ends = np.searchsorted(pairs[:, 0], np.arange(chunk.n + 1)).astype(np.int32)
+                rest = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(items, ["word", "n"]))
+                columns = [batch.column(c).slice(at, to - at) for c in others]
+                columns += [pa.array(row + np.arange(chunk.n)), *map(pa.array, sums), rest]
+                row += chunk.n
+                yield pa.RecordBatch.from_arrays(columns, [*others, *made])
+
+    made = ["row", "whole", "strong", "words", "rest"]
+    kinds = ["bigint", "double", "double", "bigint", "array<struct<word:bigint,n:bigint>>"]
+    schema = [f"`{c}` {k}" for c, k in (*rows.drop("text").dtypes, *zip(made, kinds, strict=True))]
+    found = saved(rows.select("text", *others).mapInArrow(run, ", ".join(schema)), "word-sums")
+    rare = table.where(F.col("bin") < least).select(F.col("word").alias("w"), F.col("ratio").alias("r"))
+    more = found.select("row", F.inline("rest")).join(rare, F.col("word") == F.col("w"))
+    over = F.greatest(F.col("r") - STRONG, F.lit(0.0))
+    more = more.groupBy("row").agg(F.sum(F.col("n") * F.col("r")).alias("m"), F.sum(F.col("n") * over).alias("s"))
+    size = F.greatest(F.col("words"), F.lit(1))
+    means = [
+        ((F.col(a) + F.coalesce(F.col(b), F.lit(0.0))) / size).alias(name)
+        for a, b, name in (("whole", "m", "ratio"), ("strong", "s", "strong"))
+    ]
+    return found.drop("rest").join(more, "row", "left").select(*others, *means, "words")
+
+
+def curve_inputs():
     """Columns of the curve; the strong part also as a total, which tells one such word from none."""
-    total = strong * count
-    return np.column_stack([np.ones(len(ratio)), np.clip(ratio, -5, 5), strong, np.log1p(total), np.log1p(count) / 5])
+    ratio, strong, words = F.col("ratio"), F.col("strong"), F.col("words")
+    clipped = F.least(F.greatest(ratio, F.lit(-5.0)), F.lit(5.0))
+    return [F.lit(1.0), clipped, strong, F.log1p(strong * words), F.log1p(words) / 5]
 
 
 def logistic(x, y, ridge=1e-3, steps=50):
@@ -209,25 +295,6 @@ def logistic(x, y, ridge=1e-3, steps=50):
     return w
 
 
-def _measured(model, rows, extra, kinds, curve=None):
-    model = rows.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches):
-        for batch in batches:
-            for at, to, chunk in chunks(batch):
-                found = log_ratios(model.value, chunk)
-                columns = [batch.column(i).slice(at, to - at) for i in (0, *range(2, batch.num_columns))]
-                if curve is None:
-                    found = [pa.array(f) for f in found]
-                else:
-                    found = [pa.array(1 / (1 + np.exp(-np.clip(_inputs(*found) @ curve, -30, 30))))]
-                yield pa.RecordBatch.from_arrays(columns + found, names)
-
-    names = ["doc_id", *extra, *(["ratio", "strong", "words"] if curve is None else ["score"])]
-    found = "ratio double, strong double, words bigint" if curve is None else "score double"
-    return rows.select("doc_id", "text", *extra).mapInArrow(run, ", ".join([*kinds, found]))
-
-
 def train(docs, labels, label="toxic", folds=FOLDS, held=HELD):
     """(model, curve), or None where a class has no labelled text."""
     texts = saved(training_texts(docs, labels, label, folds, held), "labelled-texts")
@@ -239,19 +306,21 @@ def train(docs, labels, label="toxic", folds=FOLDS, held=HELD):
     chosen = texts.where(apart).select(F.col("doc_id").alias("c_id")).distinct()
     chosen = chosen.orderBy(F.xxhash64("c_id", F.lit(1)), "c_id").limit(CURVE)
     rest = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("c_id"))
-    kind = dict(docs.dtypes)["doc_id"]
-    table = _measured(model, rest, ["label"], [f"doc_id {kind}", "label int"]).toPandas()
+    inputs = [c.alias(f"x{i}") for i, c in enumerate(curve_inputs())]
+    table = measured(model, rest.select("label", "text")).select("label", *inputs).toPandas()
     if table["label"].nunique() < 2:
         return None
-    x = _inputs(*(table[c].to_numpy() for c in ("ratio", "strong", "words")))
-    return model, logistic(x, (table["label"] > 0).to_numpy(float))
+    return model, logistic(table.drop(columns="label").to_numpy(), (table["label"] > 0).to_numpy(float))
 
 
 def score(docs, trained):
     """doc_id and score (0 to 1, higher: toxic likelier) of every text."""
     if trained is None:
         return docs.select("doc_id", F.lit(0.5).alias("score"))
-    return _measured(trained[0], docs, [], [f"doc_id {dict(docs.dtypes)['doc_id']}"], trained[1])
+    model, curve = trained
+    z = sum(F.lit(float(w)) * x for w, x in zip(curve, curve_inputs(), strict=True))
+    z = F.least(F.greatest(z, F.lit(-30.0)), F.lit(30.0))
+    return measured(model, docs.select("doc_id", "text")).select("doc_id", (1 / (1 + F.exp(-z))).alias("score"))
 
 
 def toxicity_query(spark, sf_dir):

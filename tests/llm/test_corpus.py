@@ -1,6 +1,8 @@
 """The corpus operators against brute force on small tables with nulls, ties, repeats and clashing names."""
 
+import functools
 import hashlib
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -327,6 +329,55 @@ def test_scores_on_held_out_rows(marked, module, label, folds):
     assert module.score(docs.limit(0), trained).count() == 0
 
 
+def test_toxicity_models_equal_brute_force(spark, docs, texts):
+    marked = docs.select("doc_id", "text", (F.col("doc_id") % 3 == 0).cast("int").alias("label"))
+    rows = marked.select("doc_id", "text")
+    model = toxicity.fit(toxicity.run_counts(marked.select("text", "label")))
+
+    def runs_of(text):
+        for word in re.findall(rb"[0-9A-Za-z\x80-\xff]+", (text or "").encode()):
+            padded = b"\x01" * (toxicity.ORDER - 1) + word.lower() + b"\x02"
+            yield [padded[i : i + toxicity.ORDER] for i in range(len(word) + 1)]
+
+    counts = [Counter(), Counter()]
+    for r in marked.collect():
+        counts[r.label].update(run for word in runs_of(r.text) for run in word)
+    levels = {toxicity.ORDER: counts}
+    for order in range(toxicity.ORDER - 1, toxicity.LOWEST - 1, -1):
+        levels[order] = [Counter(run[1:] for run in level) for level in levels[order + 1]]
+    shared = Counter(run[1:] for run in set(levels[toxicity.LOWEST][0]) | set(levels[toxicity.LOWEST][1]))
+    heads, kinds, sums = Counter(), Counter(), {}
+    for run, n in shared.items():
+        heads[run[:-1]] += n
+        kinds[run[:-1]] += 1
+    for order, level in levels.items():
+        for c in (0, 1):
+            for run, n in level[c].items():
+                whole, left = sums.get((order, c, run[:-1]), (0, 0.0))
+                sums[order, c, run[:-1]] = whole + n, left + toxicity.DISCOUNT
+
+    @functools.cache
+    def chance(c, run):
+        order = len(run)
+        if order < toxicity.LOWEST:
+            whole = heads[run[:-1]]
+            own = max(shared[run] - toxicity.DISCOUNT, 0)
+            return (own + toxicity.DISCOUNT * kinds[run[:-1]] / 256) / whole if whole else 1 / 256
+        whole, left = sums.get((order, c, run[:-1]), (0, 0.0))
+        lower = chance(c, run[1:])
+        return (max(levels[order][c][run] - toxicity.DISCOUNT, 0) + left * lower) / whole if whole else lower
+
+    expected = {}
+    for d, text in texts.items():
+        words = [sum(math.log(chance(1, r) / chance(0, r)) for r in w) for w in runs_of(text)]
+        strong = sum(max(w - toxicity.STRONG, 0) for w in words)
+        expected[d] = (sum(words) / max(len(words), 1), strong / max(len(words), 1), len(words))
+    for often in (toxicity.OFTEN, 0, 40):  # all words looked up, all joined, some of each
+        found = toxicity.measured(model, rows, often).collect()
+        assert len(found) == rows.count()
+        assert all(np.allclose((r.ratio, r.strong, r.words), expected[r.doc_id], atol=1e-6) for r in found)
+
+
 def test_marginals_equal_enumeration():
     rng = np.random.default_rng(0)
     unary, transition = rng.normal(size=9), rng.normal(size=(2, 2))
