@@ -8,10 +8,10 @@ compound forms that a model of whole words would not know.
 
 The score compares the two log-likelihoods, normalised by the number of words; a logistic curve
 over the difference and its part from decisive words, fitted on labelled texts that were not
-counted, turns it into a chance. The models are tables of all counts, whatever their size. Each
-distinct word of the scored texts is judged once, by joins with these tables. Texts then look up
-the most frequent words, at most ``OFTEN``, in memory; the others are joined. Since more than
-``OFTEN`` words are about as frequent or more so, none of these is a hot key.
+counted, turns it into a chance. The models are tables of all counts, whatever their size. Tasks
+look up the most frequent runs, at most ``OFTEN``, in memory. The distinct words that hold any
+other run are judged by joins with the tables, each run once, and joined to the texts; the most
+frequent of these words, at most ``HOT``, are broadcast, so that none of the others is a hot key.
 
 Defined cases: a null or empty text has no words and the score of the curve at no difference;
 unlabelled rows are scored, not counted; conflicting labels of an id count as the larger; labels
@@ -34,8 +34,8 @@ from ordertide.llm.text import FOLD, chunks
 FOLDS, HELD, CALLED_AT = 3, 1, 0.7
 #: Bytes of the longest run and of the shortest a class counts by itself, and the discount of all orders.
 ORDER, LOWEST, DISCOUNT = 6, 4, 0.75
-#: Words that a task looks up in memory; the rest is joined.
-OFTEN = 1 << 20
+#: Runs that a task looks up in memory, and words that a join broadcasts; the rest is joined.
+OFTEN, HOT = 1 << 20, 1 << 16
 #: Parts of the runs that open words, which many words share.
 SALTS = 16
 #: One labelled text in so many fits the curve instead of being counted, at most CURVE of them.
@@ -84,12 +84,11 @@ def word_runs(chunk, starts, sizes):
     return key, word
 
 
-def training_texts(docs, labels, label="toxic", folds=FOLDS, held=HELD):
-    """doc_id, text and label of the labelled rows outside the held-out fold.
+def training_texts(docs, known):
+    """doc_id, text and label of the rows with a label in known (l_id, label).
 
     A Bloom filter of bounded size over the labelled ids keeps the other texts out of the join.
     """
-    known = known_labels(labels, label, folds, held)
     bloom = docs.sparkSession.sparkContext.broadcast(
         bloom_of(known.select(F.col("l_id").cast("long").alias("token")), FILTER_WORDS)
     )
@@ -132,8 +131,18 @@ def _context():
     return F.shiftright("run", 8).alias("context")
 
 
-def fit(counts):
-    """Tables of all counts, from the shared order to the longest, or None if a class has no word.
+def _frequent(rows, n, most):
+    """The rows with a column bin of their n (eight to a factor of two), and the least bin from which
+    on there are at most ``most`` rows."""
+    rows = rows.withColumn("bin", F.floor(F.log2(n) * 8).cast("int"))
+    sizes = rows.groupBy("bin").count().orderBy(F.desc("bin")).collect()  # a few hundred rows
+    fits = sum(total <= most for total in accumulate(r["count"] for r in sizes))
+    return rows, sizes[fits - 1]["bin"] if fits else 1 << 30
+
+
+def fit(counts, often=OFTEN):
+    """The model, or None if a class has no word: tables of all counts, from the shared order to the
+    longest, and the ratios of the most frequent runs as arrays sorted by run.
 
     counts: rows of run_counts. Lower orders count in how many longer runs a run is found.
     """
@@ -144,12 +153,17 @@ def fit(counts):
         kinds = (F.count(F.when(F.col(c) > 0, 1)).alias(c) for c in ("n0", "n1"))
         levels.append(saved(levels[-1].groupBy(_last(order).alias("run")).agg(*kinds), "run-counts"))
     shared = levels[-1].groupBy(_last(LOWEST - 1).alias("run")).agg(F.count("*").alias("n"))
-    return [saved(shared, "run-counts"), *reversed(levels)]
+    tables = [saved(shared, "run-counts"), *reversed(levels)]
+    rows, least = _frequent(counts, F.col("n0") + F.col("n1"), often)
+    known = run_ratios(tables, rows.where(F.col("bin") >= least).select("run")).toArrow()
+    run, ratio = (known.column(c).to_numpy() for c in ("run", "ratio"))
+    order = np.argsort(run)
+    return tables, (run[order], ratio[order])
 
 
-def run_ratios(model, runs):
+def run_ratios(tables, runs):
     """run and ratio: log P(last byte | run before it, toxic) - the same for ordinary, of distinct runs."""
-    shared, *levels = model
+    shared, *levels = tables
     heads = shared.groupBy(_context()).agg(F.sum("n").alias("whole"), F.count("*").alias("kinds"))
     need = runs.select(_last(LOWEST - 1).alias("run")).distinct().withColumn("context", _context())
     need = need.join(shared, "run", "left").join(heads, "context", "left")
@@ -174,99 +188,95 @@ def run_ratios(model, runs):
     return chances.select("run", (logs[1] - logs[0]).alias("ratio"))
 
 
-def vocabulary(docs):
-    """word (a hash), text and n, the number of occurrences, of each distinct word."""
-
-    def run(batches):
-        for batch in batches:
-            for _, _, chunk in chunks(batch):
-                which, _, names, starts, sizes = distinct_words(chunk)
-                ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
-                at, word = _ramp(sizes)
-                spelt = FOLD[chunk.data][starts[word] + at].tobytes()
-                spelt = pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(ends), pa.py_buffer(spelt))
-                n = np.bincount(which, minlength=len(names))
-                columns = [pa.array(names), spelt.cast(pa.string()), pa.array(n.astype(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, ["word", "text", "n"])
-
-    rows = docs.select("text").mapInArrow(run, "word bigint, text string, n bigint")
-    return rows.groupBy("word", "text").agg(F.sum("n").alias("n"))
+def _look_up(known, keys):
+    """Ratio of each run, 0 where it is not known, and whether it is known."""
+    runs, ratios = known
+    if not len(runs):
+        return np.zeros(len(keys)), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(runs, keys), len(runs) - 1)
+    there = runs[at] == keys
+    return np.where(there, ratios[at], 0.0), there
 
 
-def word_pieces(words):
-    """word, n, run and times of each distinct run of each row of ``vocabulary``."""
+def rare_pieces(words, known):
+    """word, run and times of each distinct run that is not known; words: word (a hash) and text."""
 
     def run(batches):
         for batch in batches:
-            word, n = (batch.column(i).to_numpy() for i in (0, 2))
+            word = batch.column(0).to_numpy()
             for at, to, chunk in chunks(batch):
-                sizes = np.diff(chunk.offsets)
-                key, place = word_runs(chunk, chunk.offsets[:-1], sizes)
+                key, place = word_runs(chunk, chunk.offsets[:-1], np.diff(chunk.offsets))
+                rare = ~_look_up(known.value, key)[1]
+                key, place = key[rare], place[rare]
                 order = np.lexsort((key, place))
                 key, place = key[order], place[order]
                 new = np.flatnonzero(np.diff(key, prepend=-1) | np.diff(place, prepend=-1))
                 times = np.diff(new, append=len(key)).astype(np.int64)
-                columns = [word[at:to][place[new]], n[at:to][place[new]], key[new], times]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["word", "n", "run", "times"])
+                columns = [word[at:to][place[new]], key[new], times]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["word", "run", "times"])
 
-    return words.mapInArrow(run, "word bigint, n bigint, run bigint, times bigint")
+    return words.mapInArrow(run, "word bigint, run bigint, times bigint")
 
 
-def word_ratios(model, docs):
-    """word, ratio (the sum over its runs) and bin (of the frequency, eight to a factor of two)."""
-    pieces = saved(word_pieces(vocabulary(docs)), "word-runs")
-    ratios = run_ratios(model, saved(pieces.select("run").distinct(), "runs"))
+def rare_ratios(model, known, words):
+    """word and more, the sum over its runs that are not known, of each row of words."""
+    pieces = saved(rare_pieces(words, known), "word-runs")
+    ratios = run_ratios(model[0], saved(pieces.select("run").distinct(), "runs"))
     opens = F.shiftright("run", 8 * (ORDER - 1)) == 1
     part = F.when(opens, F.pmod("word", F.lit(SALTS))).otherwise(0).cast("int")
     parts = F.when(opens, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     found = pieces.withColumn("part", part).join(ratios.withColumn("part", F.explode(parts)), ["run", "part"])
-    words = found.groupBy("word").agg(F.sum(F.col("ratio") * F.col("times")).alias("ratio"), F.max("n").alias("n"))
-    freq = F.floor(F.log2("n") * 8).cast("int").alias("bin")
-    return saved(words.select("word", F.round("ratio", 9).alias("ratio"), freq), "word-ratios")
+    return found.groupBy("word").agg(F.round(F.sum(F.col("ratio") * F.col("times")), 9).alias("more"))
 
 
-def measured(model, rows, often=OFTEN):
+def measured(model, rows, hot=HOT):
     """The columns of rows but text, the mean log ratio of the words, the mean of the part above
     ``STRONG``, and the number of words."""
-    table = word_ratios(model, rows)
-    sizes = table.groupBy("bin").count().orderBy(F.desc("bin")).collect()  # a few hundred rows
-    fits = sum(total <= often for total in accumulate(r["count"] for r in sizes))
-    least = sizes[fits - 1]["bin"] if fits else 1 << 30
-    known = table.where(F.col("bin") >= least).select("word", "ratio").toArrow()
-    known = [known.column(c).to_numpy() for c in ("word", "ratio")]
-    known = rows.sparkSession.sparkContext.broadcast([k[np.argsort(known[0])] for k in known])
+    known = rows.sparkSession.sparkContext.broadcast(model[1])
     others = [c for c in rows.columns if c != "text"]
 
     def run(batches):
-        words, ratios = known.value
         row = TaskContext.get().partitionId() << 36
         for batch in batches:
             for at, to, chunk in chunks(batch):
-                which, docs, names, _, _ = distinct_words(chunk)
-                place = np.minimum(np.searchsorted(words, names), max(len(words) - 1, 0))
-                there = words[place] == names if len(words) else np.zeros(len(names), bool)
-                ratio = np.where(there, ratios[place] if len(words) else 0.0, 0.0)[which]
-                sums = [np.bincount(docs, v, chunk.n) for v in (ratio, np.maximum(ratio - STRONG, 0))]
+                which, docs, names, starts, sizes = distinct_words(chunk)
+                key, word = word_runs(chunk, starts, sizes)
+                ratio, there = _look_up(known.value, key)
+                ratio = np.bincount(word, ratio, len(names))
+                rare = np.bincount(word, ~there, len(names)) > 0
+                sure = np.where(rare, 0.0, ratio)[which]
+                sums = [np.bincount(docs, v, chunk.n) for v in (sure, np.maximum(sure - STRONG, 0))]
                 sums.append(np.bincount(docs, minlength=chunk.n).astype(np.int64))
-                rare = ~there[which]
-                pairs = np.column_stack((docs[rare], which[rare]))
-                pairs, n = np.unique(pairs, axis=0, return_counts=True) if len(pairs) else (pairs, pairs[:, 0])
-                items = [pa.array(names[pairs[:, 1]]), pa.array(n.astype(np.int64))]
-                ends = np.searchsorted(pairs[:, 0], np.arange(chunk.n + 1)).astype(np.int32)
-                rest = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(items, ["word", "n"]))
+                left = rare[which]
+                pairs, n = np.unique(docs[left] * (len(names) + 1) + which[left], return_counts=True)
+                doc, name = np.divmod(pairs, len(names) + 1)
+                step, place = _ramp(sizes[name])
+                spelt = FOLD[chunk.data][starts[name][place] + step].tobytes() if len(name) else b""
+                ends = np.concatenate(([0], np.cumsum(sizes[name]))).astype(np.int64)
+                text = pa.LargeStringArray.from_buffers(len(name), pa.py_buffer(ends), pa.py_buffer(spelt))
+                items = [pa.array(names[name]), pa.array(n.astype(np.int64)), pa.array(ratio[name]), text.cast(pa.string())]
+                rest = pa.StructArray.from_arrays(items, ["word", "n", "less", "text"])
+                ends = np.searchsorted(doc, np.arange(chunk.n + 1)).astype(np.int32)
                 columns = [batch.column(c).slice(at, to - at) for c in others]
-                columns += [pa.array(row + np.arange(chunk.n)), *map(pa.array, sums), rest]
+                columns += [pa.array(row + np.arange(chunk.n)), *map(pa.array, sums)]
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), rest))
                 row += chunk.n
                 yield pa.RecordBatch.from_arrays(columns, [*others, *made])
 
     made = ["row", "whole", "strong", "words", "rest"]
-    kinds = ["bigint", "double", "double", "bigint", "array<struct<word:bigint,n:bigint>>"]
+    kinds = ["bigint", "double", "double", "bigint", "array<struct<word:bigint,n:bigint,less:double,text:string>>"]
     schema = [f"`{c}` {k}" for c, k in (*rows.drop("text").dtypes, *zip(made, kinds, strict=True))]
     found = saved(rows.select("text", *others).mapInArrow(run, ", ".join(schema)), "word-sums")
-    rare = table.where(F.col("bin") < least).select(F.col("word").alias("w"), F.col("ratio").alias("r"))
-    more = found.select("row", F.inline("rest")).join(rare, F.col("word") == F.col("w"))
-    over = F.greatest(F.col("r") - STRONG, F.lit(0.0))
-    more = more.groupBy("row").agg(F.sum(F.col("n") * F.col("r")).alias("m"), F.sum(F.col("n") * over).alias("s"))
+    pairs = found.select("row", F.inline("rest"))
+    vocabulary = saved(pairs.groupBy("word", "text").agg(F.sum("n").alias("all")), "rare-words")
+    rare = rare_ratios(model, known, vocabulary.select("word", "text"))
+    rare, least = _frequent(saved(rare.join(vocabulary.select("word", "all"), "word"), "rare-ratios"), F.col("all"), hot)
+    pairs = pairs.select("row", "word", "n", "less")
+    more = pairs.join(F.broadcast(rare.where(F.col("bin") >= least).select("word", "more")), "word")
+    more = more.unionByName(pairs.join(rare.where(F.col("bin") < least).select("word", "more"), "word"))
+    ratio = F.col("less") + F.col("more")
+    over = F.greatest(ratio - STRONG, F.lit(0.0))
+    more = more.groupBy("row").agg(F.sum(F.col("n") * ratio).alias("m"), F.sum(F.col("n") * over).alias("s"))
     size = F.greatest(F.col("words"), F.lit(1))
     means = [
         ((F.col(a) + F.coalesce(F.col(b), F.lit(0.0))) / size).alias(name)
@@ -297,15 +307,15 @@ def logistic(x, y, ridge=1e-3, steps=50):
 
 def train(docs, labels, label="toxic", folds=FOLDS, held=HELD):
     """(model, curve), or None where a class has no labelled text."""
-    texts = saved(training_texts(docs, labels, label, folds, held), "labelled-texts")
-    apart = F.pmod(F.xxhash64("doc_id"), F.lit(APART)) == 0
-    model = fit(saved(run_counts(texts.where(~apart)), "run-counts"))
+    known = known_labels(labels, label, folds, held)
+    apart = F.pmod(F.xxhash64("l_id"), F.lit(APART)) == 0
+    counts = run_counts(training_texts(docs, known.where(~apart)))
+    model = fit(saved(counts, "run-counts"))
     if model is None:
         return None
-    # ids are chosen first, so that no task gathers texts to sort them
-    chosen = texts.where(apart).select(F.col("doc_id").alias("c_id")).distinct()
-    chosen = chosen.orderBy(F.xxhash64("c_id", F.lit(1)), "c_id").limit(CURVE)
-    rest = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("c_id"))
+    # a bounded table, so no text is shuffled
+    chosen = F.broadcast(known.where(apart).orderBy(F.xxhash64("l_id", F.lit(1)), "l_id").limit(CURVE))
+    rest = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("l_id"))
     inputs = [c.alias(f"x{i}") for i, c in enumerate(curve_inputs())]
     table = measured(model, rest.select("label", "text")).select("label", *inputs).toPandas()
     if table["label"].nunique() < 2:

@@ -332,7 +332,7 @@ def test_scores_on_held_out_rows(marked, module, label, folds):
 def test_toxicity_models_equal_brute_force(spark, docs, texts):
     marked = docs.select("doc_id", "text", (F.col("doc_id") % 3 == 0).cast("int").alias("label"))
     rows = marked.select("doc_id", "text")
-    model = toxicity.fit(toxicity.run_counts(marked.select("text", "label")))
+    run_counts = toxicity.run_counts(marked.select("text", "label"))
 
     def runs_of(text):
         for word in re.findall(rb"[0-9A-Za-z\x80-\xff]+", (text or "").encode()):
@@ -372,8 +372,8 @@ def test_toxicity_models_equal_brute_force(spark, docs, texts):
         words = [sum(math.log(chance(1, r) / chance(0, r)) for r in w) for w in runs_of(text)]
         strong = sum(max(w - toxicity.STRONG, 0) for w in words)
         expected[d] = (sum(words) / max(len(words), 1), strong / max(len(words), 1), len(words))
-    for often in (toxicity.OFTEN, 0, 40):  # all words looked up, all joined, some of each
-        found = toxicity.measured(model, rows, often).collect()
+    for often, hot in ((toxicity.OFTEN, toxicity.HOT), (0, 0), (300, 40)):  # all looked up, all joined, some of each
+        found = toxicity.measured(toxicity.fit(run_counts, often), rows, hot).collect()
         assert len(found) == rows.count()
         assert all(np.allclose((r.ratio, r.strong, r.words), expected[r.doc_id], atol=1e-6) for r in found)
 
