@@ -184,7 +184,7 @@ def sla_gauge(orders, target=ON_TIME_TARGET_PCT, sla=SLA_MINUTES):
 
 
 def _spine(series, minutes):
-    """Every bucket between the first and the last one, day by day."""
+    """Every bucket between the first and the last one; the days are dealt out before their buckets are made."""
     step = F.expr(f"interval {minutes} minutes")
     ends = series.agg(F.min("bucket").alias("first"), F.max("bucket").alias("last"))
     days = ends.select(
@@ -195,7 +195,7 @@ def _spine(series, minutes):
         ),
     )
     last_of_day = F.col("day") + F.expr("interval 1 day") - step
-    return days.select(
+    return days.repartition("day").select(
         "day",
         F.explode(
             F.sequence(F.greatest("first", "day"), F.least(F.col("last"), last_of_day), step)
@@ -203,9 +203,17 @@ def _spine(series, minutes):
     )
 
 
-def orders_on_spine(orders, minutes=BUCKET_MINUTES):
-    """Created and delivered orders on every bucket from the first to the last creation."""
+def orders_on_spine(orders, minutes=BUCKET_MINUTES, since=None, until=None):
+    """Created and delivered orders on every bucket from the first to the last creation.
+
+    ``since`` and ``until`` (before it) bound the times that count, so that one stray
+    time of a feed does not stretch the buckets over decades.
+    """
     bucket = time_bucket("event_time", minutes).alias("bucket")
+    if since is not None:
+        orders = orders.filter(F.col("event_time") >= F.lit(since))
+    if until is not None:
+        orders = orders.filter(F.col("event_time") < F.lit(until))
     series = (
         orders.filter(event_is("order_created", "order_delivered") & F.col("event_time").isNotNull())
         .groupBy(bucket)
@@ -224,14 +232,14 @@ def orders_on_spine(orders, minutes=BUCKET_MINUTES):
     )
 
 
-def orders_over_time(orders, minutes=BUCKET_MINUTES):
-    """Created, delivered and active orders per bucket.
+def orders_over_time(orders, minutes=BUCKET_MINUTES, since=None, until=None):
+    """Created, delivered and active orders per bucket, within bounds as in ``orders_on_spine``.
 
     Active is the running sum of created minus delivered, shown as zero when
     negative. The running sum is taken within each day, on top of the sum of the
     days before, so that no task sees more than one day or one row per day.
     """
-    series = orders_on_spine(orders, minutes).withColumn(
+    series = orders_on_spine(orders, minutes, since, until).withColumn(
         "change", F.col("orders_created") - F.col("orders_delivered")
     )
     before = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)

@@ -10,16 +10,16 @@ def dedup_first(events, keys=("event_id",), order=("ingestion_time", "event_time
     """One row per key: the first by ``order``, then by the other columns.
 
     The minimum of a struct is combined map-side, so any number of copies of one
-    key shrinks to one row per task before the shuffle. Rows without a key stay.
+    key shrinks to one row per task before the shuffle. Rows without a key stay:
+    each is a group of its own, under the number of its row, so the source is read once.
     """
     rest = [name for name in events.columns if name not in keys and name not in order]
-    row = F.struct(*order, *rest)
     unkeyed = F.lit(False)
     for key in keys:
         unkeyed = unkeyed | F.col(key).isNull()
-    first = events.filter(~unkeyed).groupBy(*keys).agg(F.min(row).alias("_row"))
-    kept = first.select(*keys, "_row.*").select(*events.columns)
-    return kept.unionByName(events.filter(unkeyed))
+    own = F.when(unkeyed, F.monotonically_increasing_id()).alias("_own")
+    first = events.select("*", own).groupBy(*keys, "_own").agg(F.min(F.struct(*order, *rest)).alias("_row"))
+    return first.select(*keys, "_row.*").select(*events.columns)
 
 
 def union_feeds(orders, couriers):

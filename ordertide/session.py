@@ -38,3 +38,9 @@ def stream_session(spark, partitions=None):
     session.conf.set("spark.sql.streaming.stateStore.providerClass", _STATE_STORE)
     session.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     return session
+
+
+def check_stream_session(session):
+    """State that outgrows memory needs the settings of ``stream_session``."""
+    if session.conf.get("spark.sql.streaming.stateStore.providerClass", None) != _STATE_STORE:
+        raise ValueError("read the topics with a session of stream_session()")

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ordertide.operators.windows import anomaly_zones, orders_hopping_kpi, orders_tumbling_kpi, zone_health
 from ordertide.schemas import COURIER_FEED, ORDER_FEED
+from ordertide.session import check_stream_session
 from ordertide.sources.decode import decode_feed
 from ordertide.streaming.dedup import dedup_watermark
 from ordertide.streaming.sinks import start_parquet
@@ -32,7 +33,12 @@ def kpi_streams(orders, couriers, hopping_orders=None, marked=False):
 
 
 def start_pipeline(order_topic, courier_topic, output, checkpoints, interval="10 seconds"):
-    """Start every query on two topics; without an interval each ends when it has caught up."""
+    """Start every query on two topics; without an interval each ends when it has caught up.
+
+    The topics are read by a session of ``stream_session``, whose state store and number of state
+    partitions all queries then have.
+    """
+    check_stream_session(order_topic.sparkSession)
     orders = read_events(order_topic, ORDER_FEED)
     couriers = read_events(courier_topic, COURIER_FEED)
     hopping = read_events(order_topic, ORDER_FEED, "20 minutes")

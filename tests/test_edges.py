@@ -215,6 +215,21 @@ def test_first_row_per_key_keeps_rows_without_key(spark):
     assert len(kept) == 3 and any("v='a'" in k for k in kept)
 
 
+def test_first_row_per_key_reads_its_source_once(spark):
+    path = run_folder(spark, "feed")
+    spark.createDataFrame([("k", 2), (None, 1)], "event_id string, ingestion_time int").write.parquet(path)
+    df = tables.dedup_first(spark.read.parquet(path), order=("ingestion_time",))
+    assert df.count() == 2
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_bounds_keep_a_stray_time_off_the_spine(spark):
+    feed = orders(spark, [("A", "order_created", at(0)), ("B", "order_created", at(30))])
+    stray = feed.limit(1).withColumn("event_time", F.lit("1970-01-02").cast("timestamp"))
+    bounded = ords.orders_over_time(feed.unionByName(stray), since=at(0), until=at(60))
+    assert sorted(bounded.collect()) == sorted(ords.orders_over_time(feed).collect())
+
+
 def test_out_of_order_matches_brute_force(spark):
     random.seed(3)
     rows = []
@@ -477,3 +492,9 @@ def test_the_six_queries_start_and_stop(spark):
         finish(query, 240)
     stop_all(queries)
     assert len(queries) == 6 and spark.read.parquet(f"{out}/orders").count() == 1
+    states = [s for s in queries["kpi_orders_5min_tumbling"].lastProgress["stateOperators"]]
+    assert states and all(s["numShufflePartitions"] == 2 for s in states)
+    assert all(any(name.startswith("rocksdb") for name in s["customMetrics"]) for s in states)
+    plain = [spark.readStream.format("rate").load() for _ in topics]
+    with pytest.raises(ValueError, match="stream_session"):
+        start_pipeline(*plain, out, out + "-checkpoints")
