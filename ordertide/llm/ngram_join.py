@@ -52,6 +52,8 @@ FIRST = 3
 HEAD = 8
 #: Shingles of a tree edge that are compared before the bound is tested again.
 PIECE = 64
+#: Parts in which the rows of one class are given its component; at most 64, one bit each.
+PARTS = 32
 
 _FREQUENT_BIT = np.uint64(1 << 63)
 _RANGE = np.uint64(int(COUNTED * (1 << 63)))
@@ -451,18 +453,22 @@ def jaccard_components(docs):
     shared_words = min(SHARED_WORDS, 1 << max(10, int(counts.count() // 8).bit_length()))
     frequent = bloom_of(counts.where(F.col("n") > FREQUENT), FREQUENT_WORDS)
     light = saved(light_rows(docs, frequent, bloom_of(counts, shared_words)), "light-rows")
+    light = light.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int"))
     same = ["sum1", "sum2", "n"]
-    classes = light.where("n > 0").groupBy(*same).agg(F.min("doc_id").alias("cls"))
+    classes = light.where("n > 0").groupBy(*same)
+    classes = saved(classes.agg(F.min("doc_id").alias("cls"), F.expr("bit_or(shiftleft(1L, part))").alias("mask")), "sets")
     reps = light.where("size(live) > 0").join(classes, same).where("doc_id = cls").select("cls", "n", "live", "bits")
     reps = saved(reps, "classes")
     links = verified(docs, frequent, first_partners(reps))
     found = components(links)
     links = links.unionByName(verified(docs, frequent, open_partners(reps, found)))
     roots = components(links)
-    out = light.select("doc_id", *same).join(classes, same, "left").join(roots, F.col("cls") == F.col("node"), "left")
-    return out.select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "cls", "doc_id").alias("component_id")
-    )
+    # a class may hold a third of all rows: its component goes to each part that has rows of it
+    classes = classes.join(roots, F.col("cls") == F.col("node"), "left")
+    held = F.filter(F.sequence(F.lit(0), F.lit(PARTS - 1)), lambda p: F.getbit(F.col("mask"), p) == 1)
+    classes = classes.select(*same, F.explode(held).alias("part"), F.coalesce("root", "cls").alias("root"))
+    out = light.select("doc_id", "part", *same).join(classes, [*same, "part"], "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id"))
 
 
 def keep_first(docs):

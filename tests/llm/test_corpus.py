@@ -118,6 +118,16 @@ def test_large_groups_meet_in_blocks(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == label
 
 
+def test_copies_of_one_text_get_one_component(spark):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(d, " ".join(words)) for d in range(5, 205)] + [(None, " ".join(words)), (300, " ".join(words[:58]))]
+    rows += [(2, " ".join(words[1:])), (7, " ".join(words)), (None, "no other text is like this one"), (400, "")]
+    got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(d, 56, 2) for d in range(5, 205)] + [(7, 56, 2), (300, 54, 2), (2, 55, 2), (400, 0, 400)]
+    assert sorted(tuple(r) for r in got if r.doc_id is not None) == sorted(want)
+    assert sorted((r.n_shingles, r.component_id or -1) for r in got if r.doc_id is None) == [(3, -1), (56, 2)]
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 101), (7, 7), (None, 3)], "a long, b long")
     got = {r.node: r.root for r in components.components(links).collect()}
