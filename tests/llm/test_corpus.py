@@ -189,6 +189,21 @@ def test_line_dedup_near_the_threshold(spark):
         assert left == (set(range(3 * sites)) if sites < 5 else {0})
 
 
+def test_line_dedup_short_lines_need_more_sites(spark):
+    lines = {5: "a line of five words", 4: "All rights are reserved", 3: "All rights reserved.", 2: "Read more", 1: "Menu"}
+    for words, need in ((5, 5), (4, 10), (3, 15), (2, 20), (1, 25)):
+        for sites in (need - 1, need, 60):
+            rows = [(i, f"own text {i}\n{lines[words]} \n \n|", f"site{i % sites}") for i in range(2 * sites)]
+            rows.append((999, "| | | |", None))
+            docs = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(2)
+            wide = line_dedup.widespread_lines(docs)
+            gone = wide.where(F.col("key") == F.xxhash64(F.lit(lines[words])))
+            assert gone.count() == (sites >= need), (words, sites)
+    left = line_dedup.dedup_lines(docs).where(F.contains("text", F.lit("Menu"))).collect()
+    assert [r.doc_id for r in left] == [0]
+    assert line_dedup.dedup_lines(docs, short=False).where(F.contains("text", F.lit("Menu"))).count() == 120
+
+
 def test_decontamination(spark, docs, texts, empty):
     given = texts[3].split()
     items = [(1, " ".join(given[3:30])), (2, " ".join(given[3:20]).upper()), (3, "too few words"), (4, None), (5, "")]
