@@ -1,4 +1,4 @@
-"""Removal of bytes covered by 200-byte strings that start more than once, by refining buckets of suffixes.
+"""Removal of bytes covered by 200-byte strings that start more than once, by winnowed fingerprints.
 
 Only some suffixes are kept: of every 200 bytes, the position with the smallest bucket identifier
 among their 50-byte strings (the leftmost of equals). Equal 200-byte strings choose the same
@@ -7,10 +7,13 @@ position, so a repeated string is found in the bucket of its chosen suffix, what
 1. Initial buckets are the 50-byte strings at chosen positions. Those with one suffix are done.
 2. A suffix stands for the strings that chose it; if all of them, with all their bytes, occur at
    another suffix of the bucket, they are repeated. Suffixes that are alike are one from here on.
-3. Buckets with unlike suffixes are refined: a suffix is split by how far before it a string
-   starts, in steps of 25, and sorted on the bucket identifiers of later offsets that all strings
-   of a step share, each made of identifiers of the step before (50, 100, 176 bytes).
-4. Steps whose refined bucket still holds unlike ends are refined once more, string by string.
+3. Buckets with unlike suffixes are split: a suffix gives a row for each step of 25 in how far before
+   it a string starts, under one fingerprint of the 176 bytes that all strings of a step share, made
+   of the text's hashes at offsets 0, 50, 76 and 126.
+4. Steps whose fingerprint still has unlike ends are split once more, string by string.
+
+Nothing is sorted, and no identifier of another suffix is read: this takes the place of a recursive
+bucket-pointer refinement. Strings have a fixed length, so a fixed depth settles every bucket.
 
 Identifiers are 64-bit hashes, and every decision rests on two of them, of a bucket and of what it
 was refined by. Work is spread by identifiers; counts are partial aggregations, so a string that a
@@ -127,7 +130,7 @@ def kept_suffixes(rows, bloom):
 
 
 def steps(texts):
-    """Rows of one step of a suffix: key (bucket refined by later identifiers), row, id, start (of the
+    """Rows of one step of a suffix: key (bucket and fingerprint of the step), row, id, start (of the
     step's strings that begin last), and the bytes before and after what they share.
 
     texts: row, id, text and ``at``, the bucket, place, low and high of the row's suffixes.
