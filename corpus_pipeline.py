@@ -23,12 +23,12 @@ def line_dedup(spark, docs, sf_dir):
 
 
 def ngram_join(spark, docs, sf_dir):
-    """The document with the smallest id of each group of near copies stays."""
+    """The row with the smallest id of each group of near copies stays."""
     return keep_first(docs)
 
 
 def decontamination(spark, docs, sf_dir):
-    """Documents that contain a benchmark item go."""
+    """Rows that contain a benchmark item go."""
     return clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 

@@ -9,8 +9,8 @@ shingles that a Bloom filter of bounded size over all item shingles lets through
 then verified by exact containment: shared shingles over item shingles of at least 0.8.
 
 Defined cases: items of fewer than five words have no shingle and match nothing, as do null and
-empty texts; items with equal texts match alike; rows that repeat an id count as one document;
-rows with a null id are not searched; an empty table on either side gives an empty result; other
+empty texts; items with equal texts match alike; rows that repeat an id count as one document
+and rows with a null id are not searched, but ``clean`` judges every row by itself; an empty table on either side gives an empty result; other
 columns are ignored.
 """
 
@@ -98,9 +98,10 @@ def contaminated(docs, items):
 
 
 def clean(docs, items):
-    """The documents that contain no item; rows without an id stay."""
-    dirty = contaminated(docs, items).select(F.col("doc_id").alias("_dirty")).distinct()
-    return docs.join(dirty, docs["doc_id"] == dirty["_dirty"], "left_anti")
+    """The rows that contain no item, each judged by its own text, whatever its id."""
+    key = F.xxhash64(docs["doc_id"], docs["text"])
+    dirty = contaminated(docs.select(key.alias("doc_id"), "text"), items).select(F.col("doc_id").alias("_dirty")).distinct()
+    return docs.join(dirty, key == dirty["_dirty"], "left_anti")
 
 
 def decontaminate_query(spark, sf_dir):

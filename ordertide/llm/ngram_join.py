@@ -472,13 +472,40 @@ def jaccard_components(docs):
 
 
 def keep_first(docs):
-    """One document of each component: the one with the smallest id, and rows without an id or words.
+    """One row of each component: the one with the smallest id, a null id last; rows without words stay.
 
-    Of rows that repeat that id and text all stay; the id alone is compared.
+    Rows are told apart by id and text, so texts that share an id are judged each for itself. Of
+    rows that repeat both any one stays.
     """
-    found = jaccard_components(docs)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    key = F.xxhash64(docs["doc_id"], docs["text"])
+    ids = docs.select(key.alias("key"), "doc_id")
+    found = jaccard_components(docs.select(key.alias("doc_id"), "text")).where("n_shingles > 0")
+    found = found.groupBy(F.col("doc_id").alias("key"), F.col("component_id").alias("comp")).agg(F.count("*").alias("k"))
+    # a component of one row needs no choice
+    sizes = found.groupBy("comp").agg(F.sum("k").alias("all")).where(F.col("all") > 1).select("comp")
+    found = saved(found.join(sizes, "comp"), "grouped-rows")
+    named = found.join(ids.distinct(), "key")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")
+    kept = named.groupBy("comp").agg(F.min(order).alias("first")).select(F.col("first.key").alias("key"), F.lit(True).alias("stays"))
+    marks = found.join(kept, "key", "left").where("stays IS NULL OR k > 1")
+    marks = saved(marks.select(F.col("key").alias("_key"), F.coalesce("stays", F.lit(False)).alias("_stays")), "marked-rows")
+    rest = docs.join(marks, key == marks["_key"], "left_anti")
+    twice = marks.where("_stays")
+    if twice.isEmpty():
+        return rest
+    # copies are reduced where they are read, before rows of one key meet
+    wanted = bloom_of(twice.select(F.col("_key").alias("token")), FILTER_WORDS)
+    wanted = docs.sparkSession.sparkContext.broadcast(wanted)
+
+    def run(batches):
+        for batch in batches:
+            hit = _has(wanted.value, batch.column(0).to_numpy().view(np.uint64))
+            yield batch.filter(pa.array(hit))
+
+    keyed = docs.select(key.alias("_at"), *docs.columns)
+    copies = keyed.mapInArrow(run, keyed.schema).dropDuplicates(["_at"])
+    copies = copies.join(twice, copies["_at"] == twice["_key"], "left_semi")
+    return rest.unionByName(copies.select(*docs.columns))
 
 
 def ngram_join_query(spark, sf_dir):

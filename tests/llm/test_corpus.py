@@ -128,6 +128,25 @@ def test_copies_of_one_text_get_one_component(spark):
     assert sorted((r.n_shingles, r.component_id or -1) for r in got if r.doc_id is None) == [(3, -1), (56, 2)]
 
 
+def test_stages_judge_rows_not_ids(spark):
+    a, b = ([f"{c}{i}" for i in range(60)] for c in "ab")
+    near = " ".join(b[1:])
+    a, b = " ".join(a), " ".join(b)
+    rows = [(7, a, "x"), (7, b, "x"), (5, near, "x"), (5, near, "y"), (None, b, "x"), (8, b, "x"), (None, "only this one", "x")]
+    rows += [(None, "no id here at all now", "x"), (None, "no id here at all now", "x"), (9, "", "x"), (9, "", "x"), (6, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    kept = ngram_join.keep_first(docs)
+    assert kept.columns == docs.columns
+    want = [(7, a), (5, near), (None, "only this one"), (None, "no id here at all now"), (9, ""), (9, ""), (6, None)]
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(want)
+    words = a.split()
+    rows = [(7, a), (7, b), (None, a), (None, b), (3, " ".join(words[:22])), (3, " ".join(words[18:40])), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(words[:40]))], "item_id long, text string")
+    left = Counter((r.doc_id, r.text) for r in decontaminate.clean(docs, items).collect())
+    assert left == Counter(r for r in rows if r[1] != a)
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 101), (7, 7), (None, 3)], "a long, b long")
     got = {r.node: r.root for r in components.components(links).collect()}
