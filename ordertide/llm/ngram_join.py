@@ -154,6 +154,14 @@ def _parities(tokens, owner, n):
     return _binary(np.packbits(odd.astype(bool), bitorder="little"), bits // 8)
 
 
+def _sums(tokens, n, salt):
+    """The sum of the salted hashes of each set; ``n`` are the sets' sizes."""
+    total = np.cumsum(mix(tokens * np.uint64(salt)), dtype=np.uint64)
+    total = np.concatenate((np.zeros(1, np.uint64), total))
+    first = np.concatenate(([0], np.cumsum(n)))
+    return (total[first[1:]] - total[first[:-1]]).view(np.int64)
+
+
 def light_rows(docs, frequent, shared):
     """One row per document: n, two sums that identify the set, the prefix shingles that others may
     share (``live``) and the parity bitmap. The filters are broadcast."""
@@ -169,11 +177,7 @@ def light_rows(docs, frequent, shared):
                 live = np.arange(len(owner)) - first[owner] < prefix_length(n)[owner]
                 live &= (tokens >= _RANGE) | _has(shared.value, tokens)
                 lists = np.concatenate(([0], np.cumsum(np.bincount(owner[live], minlength=chunk.n))))
-                sums = []
-                for salt in (3, 5):
-                    total = np.cumsum(mix(tokens * np.uint64(salt)), dtype=np.uint64)
-                    total = np.concatenate((np.zeros(1, np.uint64), total))
-                    sums.append((total[first[1:]] - total[first[:-1]]).view(np.int64))
+                sums = [_sums(tokens, n, salt) for salt in (3, 5)]
                 live = pa.array(tokens[live].view(np.int64))
                 columns = [batch.column(0).slice(at, to - at), pa.array(n), *map(pa.array, sums)]
                 columns.append(pa.ListArray.from_arrays(pa.array(lists.astype(np.int32)), live))
@@ -186,25 +190,36 @@ def light_rows(docs, frequent, shared):
 
 
 def sets_of(docs, ids, frequent):
-    """cls and the ordered set as bytes of the documents with an id in ``ids`` (column cls).
+    """cls and the ordered set as bytes of the documents with an id in ``ids`` (column cls), once for each set.
 
-    A Bloom filter of bounded size spares the other texts; false hits go with the next join.
+    A Bloom filter of bounded size spares the other texts; false hits go with the next join. A task
+    gives a set of one id once, however many rows hold it, so few copies meet where they are reduced.
     """
     context = docs.sparkSession.sparkContext
     wanted = context.broadcast(bloom_of(ids.select(F.col("cls").cast("long").alias("token")), FILTER_WORDS))
     frequent = context.broadcast(frequent)
 
     def run(batches):
+        seen = set()
         for batch in batches:
             hit = _has(wanted.value, batch.column(0).cast(pa.int64()).to_numpy().view(np.uint64))
             batch = batch.filter(pa.array(hit))
             for at, to, chunk in chunks(batch):
-                _, keys, owner = _ordered(chunk, frequent.value)
-                sets = _binary(keys, np.bincount(owner, minlength=chunk.n))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), sets], ["cls", "keys"])
+                tokens, keys, owner = _ordered(chunk, frequent.value)
+                n = np.bincount(owner, minlength=chunk.n)
+                name = _sums(tokens, n, 3)
+                cls = batch.column(0).slice(at, to - at)
+                new = np.zeros(chunk.n, bool)
+                for k, who in enumerate(zip(cls.to_pylist(), name.tolist())):
+                    new[k] = who not in seen
+                    seen.add(who)
+                sets = _binary(keys[new[owner]], n[new])
+                columns = [cls.filter(pa.array(new)), pa.array(name[new]), sets]
+                yield pa.RecordBatch.from_arrays(columns, ["cls", "name", "keys"])
 
-    schema = f"cls {dict(docs.dtypes)['doc_id']}, keys binary"
-    return docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(run, schema)
+    schema = f"cls {dict(docs.dtypes)['doc_id']}, name bigint, keys binary"
+    sets = docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(run, schema)
+    return sets.repartition("cls").dropDuplicates(["cls", "name"]).select("cls", "keys")
 
 
 class PrefixTree:
@@ -456,9 +471,12 @@ def jaccard_components(docs):
     light = light.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int"))
     same = ["sum1", "sum2", "n"]
     classes = light.where("n > 0").groupBy(*same)
-    classes = saved(classes.agg(F.min("doc_id").alias("cls"), F.expr("bit_or(shiftleft(1L, part))").alias("mask")), "sets")
-    reps = light.where("size(live) > 0").join(classes, same).where("doc_id = cls").select("cls", "n", "live", "bits")
-    reps = saved(reps, "classes")
+    # equal sets have equal live shingles and bitmaps: a class is one row, however many rows hold its text
+    bits = F.first(F.when(F.size("live") > 0, F.col("bits"))).alias("bits")
+    mask = F.expr("bit_or(shiftleft(1L, part))").alias("mask")
+    classes = saved(classes.agg(F.min("doc_id").alias("cls"), mask, F.first("live").alias("live"), bits), "sets")
+    reps = classes.where("cls IS NOT NULL AND size(live) > 0").select("cls", "n", "live", "bits")
+    classes = classes.select(*same, "cls", "mask")
     links = verified(docs, frequent, first_partners(reps))
     found = components(links)
     links = links.unionByName(verified(docs, frequent, open_partners(reps, found)))

@@ -227,7 +227,7 @@ def _texts_of(rows, wanted, others=False):
 def without_repeats(rows, keep_text):
     """id, n_bytes, n_removed, n_spans and the remaining bytes (or their sha256) of every row."""
     # rows of one key have the same text, so their spans are the same set
-    spans = repeated_spans(rows).groupBy("row").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    spans = repeated_spans(rows).groupBy("row").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
     spans = saved(spans, "spans")
     none = F.array().cast("array<struct<a:int,b:int>>")
     plain = _texts_of(rows, spans, others=True).select("id", "text", none.alias("spans"))

@@ -147,6 +147,38 @@ def test_stages_judge_rows_not_ids(spark):
     assert left == Counter(r for r in rows if r[1] != a)
 
 
+def test_repeated_rows_are_one_row_of_their_class(spark, monkeypatch):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words))] * 50 + [(2, " ".join(words[1:]))] * 50 + [(2, "a text of its own entirely")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    met = []
+    first = ngram_join.first_partners
+    monkeypatch.setattr(ngram_join, "first_partners", lambda reps: first(met.append(reps.count()) or reps))
+    found = ngram_join.jaccard_components(docs).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == {(1, 56, 1): 50, (2, 55, 1): 50, (2, 2, 1): 1}
+    assert met == [2]
+    none = np.zeros(1 << 10, np.uint64)
+    sets = ngram_join.sets_of(docs, spark.createDataFrame([(1,), (2,)], "cls long"), none)
+    assert Counter((r.cls, len(r["keys"])) for r in sets.collect()) == {(1, 8 * 56): 1, (2, 8 * 55): 1, (2, 8 * 2): 1}
+
+
+def test_repeated_rows_give_their_spans_once(spark, monkeypatch):
+    given = "".join(chr(97 + i * i % 23) + str(i) for i in range(300))
+    docs = spark.createDataFrame([(1, given)] * 20 + [(2, "short")], "doc_id long, text string")
+    most = []
+
+    def kept(df, name, keep=repeats.saved):
+        out = keep(df, name)
+        if name == "spans":
+            most.extend(r.spans for r in out.collect())
+        return out
+
+    monkeypatch.setattr(repeats, "saved", kept)
+    got = repeats.remove_repeats(docs).collect()
+    assert Counter((r.doc_id, r.n_removed) for r in got) == {(1, len(given)): 20, (2, 0): 1}
+    assert len(most) == 1 and len(most[0]) == len(set(most[0]))
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 101), (7, 7), (None, 3)], "a long, b long")
     got = {r.node: r.root for r in components.components(links).collect()}
