@@ -1,5 +1,6 @@
 """The operators of this folder as named queries over the given tables, and their SQL."""
 
+from ordertide.llm.cover_tree import near_vectors_query
 from ordertide.llm.crf_quality import crf_query
 from ordertide.llm.decontaminate import DECONTAMINATE_SQL, decontaminate_query
 from ordertide.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_query
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_quality_rules": rules_query,
     "op9_token_shards": shards_query,
     "op10_ngram_join": ngram_join_query,
+    "op11_embedding_near_dups": near_vectors_query,
     "op12_whitening": whitening_query,
     "op13_periodic_runs": runs_query,
 }

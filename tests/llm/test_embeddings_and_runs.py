@@ -183,3 +183,109 @@ def test_runs_query(spark, tmp_path):
     assert sorted(kept.columns) == sorted(docs.columns) and kept.count() == len(rows)
     assert {r.collapsed for r in kept.where("text = ''").collect()} == {""}
     assert periodic_runs.document_runs(docs.where("false")).count() == 0
+
+
+def _brute_near(rows, need=0.93):
+    """n_links and component of every row (id, vector, label), by all pairs."""
+    n = len(rows)
+    fine = [
+        bool(v) and label is not None and None not in v and all(map(math.isfinite, v)) and any(v) for _, v, label in rows
+    ]
+    parent, links = list(range(n)), [0] * n
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    unit = [None] * n
+    for i in range(n):
+        if fine[i]:
+            v = np.array(rows[i][1], float)
+            v /= np.abs(v).max()
+            unit[i] = v / np.linalg.norm(v)
+    for i in range(n):
+        for j in range(i):
+            if fine[i] and fine[j] and rows[i][2] == rows[j][2] and len(unit[i]) == len(unit[j]):
+                if unit[i] @ unit[j] >= need:
+                    links[i] += 1
+                    links[j] += 1
+                    parent[root(i)] = root(j)
+    least = {}
+    for i in range(n):
+        if rows[i][0] is not None:
+            least[root(i)] = min(least.get(root(i), rows[i][0]), rows[i][0])
+    return [(rows[i][0], links[i], least.get(root(i))) for i in range(n)]
+
+
+@pytest.fixture(scope="module")
+def near_rows():
+    rng = np.random.default_rng(4)
+    rows = []
+    for label in (1, 2):
+        for _ in range(40):
+            center = rng.normal(size=8)
+            for _ in range(rng.integers(1, 6)):
+                v = center + rng.normal(size=8) * rng.choice([0.05, 0.2, 0.4])
+                rows.append((len(rows) + (1 << 60), v.astype(np.float32).tolist(), label))
+    rows += [(rows[0][0] + 9000 + k, rows[0][1], 1) for k in range(20)]  # copies
+    chain = [[math.cos(0.3 * k), math.sin(0.3 * k)] + [0.0] * 6 for k in range(12)]  # linked in a chain
+    rows += [(9000 - k, v, 1) for k, v in enumerate(chain)] + [(7000 + k, [c * 1e-30 for c in v], 2) for k, v in enumerate(chain)]
+    odd = [None, [], [0.0] * 8, [math.nan] * 8, [math.inf] + [0.0] * 7, [1.0, None] + [0.0] * 6, [1.0, 0.0], [2.0, 0.0]]
+    rows += [(100 + k, v, 1) for k, v in enumerate(odd)]
+    rows += [(200, rows[0][1], None), (None, rows[1][1], 1), (None, [0.0] * 7 + [1.0], 5), rows[0], rows[0]]
+    return rows
+
+
+@pytest.mark.parametrize("group", [16, 2048])
+def test_near_vectors(spark, near_rows, monkeypatch, group):
+    from ordertide.llm import cover_tree
+
+    monkeypatch.setattr(cover_tree, "GROUP", group)
+    schema = "vec_id long, embedding array<float>, label int, cls int, part string, k int"
+    rows = spark.createDataFrame([(*r, 1, "p", 2) for r in near_rows], schema).repartition(5)
+    got = cover_tree.near_vectors(rows).collect()
+    want = _brute_near(near_rows)
+    assert sorted(repr(tuple(r)[:3]) for r in got) == sorted(map(repr, want))
+    assert all(r.kept == (r.vec_id == r.component_id) for r in got)
+    assert sum(r.n_links for r in got) > 500
+
+
+def test_near_vectors_of_texts_and_nothing(spark, near_rows):
+    from ordertide.llm import cover_tree
+
+    rows = [(None if i is None else str(i), v, str(label)) for i, v, label in near_rows[:60]]
+    given = spark.createDataFrame(rows, "vec_id string, embedding array<double>, label string")
+    got = cover_tree.near_vectors(given).collect()
+    assert sorted(repr(tuple(r)[:3]) for r in got) == sorted(map(repr, _brute_near(rows)))
+    assert cover_tree.near_vectors(given.where("false")).count() == 0
+
+
+def test_cover_tree_invariants():
+    from ordertide.llm import cover_tree
+
+    rng = np.random.default_rng(3)
+    x = cover_tree.unit(np.concatenate([rng.normal(size=(200, 5)), 3 + 0.2 * rng.normal(size=(100, 5))]))
+    d, radii = cover_tree.distances(x, x), cover_tree.RADII
+    top, parent, reach = cover_tree.cover_tree(x)
+    for level in range(len(radii)):
+        nodes = np.flatnonzero(top <= level)  # nested by definition
+        apart = d[np.ix_(nodes, nodes)][~np.eye(len(nodes), dtype=bool)]
+        assert level == 0 or (apart > radii[level]).all()
+        assert (d[:, nodes].min(axis=1) <= radii[level]).all()
+        below = np.flatnonzero(top == level + 1)
+        assert (d[below, parent[below]] <= radii[level]).all() and (top[parent[below]] <= level).all()
+        at = np.arange(len(x))
+        for up in range(len(radii) - 1, level - 1, -1):
+            at = np.where(top[at] <= up, at, parent[at])
+        for node in nodes:
+            assert np.isclose(reach[node, level], d[node, at == node].max())
+
+
+def test_near_vectors_query(spark):
+    from ordertide.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.01"
+    given = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding", "label").collect()
+    got = QUERIES["op11_embedding_near_dups"](spark, folder).collect()
+    assert sorted(tuple(r)[:3] for r in got) == sorted(_brute_near(list(map(tuple, given))))
