@@ -88,3 +88,17 @@ SENSITIVITY_WEIGHT = {"high": 1.2, "low": 0.9}
 
 # Text forms read as true.
 TRUE_WORDS = ["true", "1", "yes"]
+
+# Which events may follow which stage of an order; None is an order not seen before.
+TRANSITIONS = {
+    None: ["order_created"],
+    "order_created": ["order_confirmed", "order_cancelled_user"],
+    "order_confirmed": ["order_preparing"],
+    "order_preparing": ["order_ready_for_pickup", "order_cancelled_restaurant"],
+    "order_ready_for_pickup": ["order_picked_up", "order_cancelled_system"],
+    "order_picked_up": ["order_delivered"],
+    "order_delivered": [],
+    "order_cancelled_user": [],
+    "order_cancelled_restaurant": [],
+    "order_cancelled_system": [],
+}

@@ -206,6 +206,24 @@ def courier_feed(events):
     return rows.select(*[columns[name].alias(name) for name in COURIER_EVENTS.names])
 
 
+def harder(feed):
+    """A feed with silences, orders that come back after weeks, swapped times, and nulls, by order number."""
+    e, kind = F.substring("order_id", 4, 8).cast("bigint"), F.col("event_type")
+    minutes = (
+        F.when((kind == "order_delivered") & (e % 61 == 0), 21_600)
+        .when((kind == "order_delivered") & (e % 53 == 0), 300)
+        .when((kind == "order_picked_up") & (e % 59 == 0), 240)
+        .otherwise(0)
+    )
+    moved = _shift_minutes(F.col("event_time"), F.coalesce(minutes, F.lit(0)).cast("bigint"))
+    return feed.withColumns(
+        {
+            "event_time": F.when(F.coalesce(e % 71 != 0, F.lit(True)), moved),
+            "order_id": F.when(e % 67 != 0, F.col("order_id")),
+        }
+    )
+
+
 def order_values(events):
     """Value of each order in cents."""
     return events.select(

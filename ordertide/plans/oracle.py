@@ -5,6 +5,7 @@ and every query is then written the plain way: self joins, percentiles of whole
 groups and range joins, where the Spark side takes routes that scale.
 """
 
+from ordertide.constants import ORDER_EVENT_TYPES, TRANSITIONS
 from ordertide.operators.couriers import day_slots
 from ordertide.operators.quality import REQUIRED_BEFORE_DELIVERY, REQUIRED_ORDER_FIELDS
 
@@ -764,6 +765,72 @@ _SQL = {
         FROM (SELECT *, user_zone_id AS zone_id,
               (isodow(event_time) - 1) * 1440 + hour(event_time) * 60 + minute(event_time) AS week_minute FROM ord) o""",
 }
+_KINDS = ", ".join(f"'{kind}'" for kind in [*ORDER_EVENT_TYPES, "courier_assigned_order"])
+_LEGAL = ", ".join(f"'{stage or ''}>{event}'" for stage, after in TRANSITIONS.items() for event in after)
+_SQL["lifecycle_transitions"] = f""", hard AS (
+  SELECT DISTINCT order_id, event_type, epoch_us(event_time) + CAST(60000000 AS BIGINT) * CASE
+      WHEN event_type = 'order_delivered' AND e % 61 = 0 THEN 21600
+      WHEN event_type = 'order_delivered' AND e % 53 = 0 THEN 300
+      WHEN event_type = 'order_picked_up' AND e % 59 = 0 THEN 240 ELSE 0 END AS us
+  FROM (SELECT *, CAST(substr(order_id, 4) AS BIGINT) AS e FROM feed WHERE order_id IS NOT NULL)
+  WHERE e % 67 <> 0 AND e % 71 <> 0 AND event_type IN ({_KINDS})
+), gaps AS (
+  SELECT *, us - lag(us) OVER (PARTITION BY order_id ORDER BY us, rank) AS gap
+  FROM (SELECT *, list_position([{_KINDS}], event_type) AS rank FROM hard)
+), lives AS (
+  SELECT *, sum(CASE WHEN gap IS NULL OR gap > 604800000000 THEN 1 ELSE 0 END)
+      OVER (PARTITION BY order_id ORDER BY us, rank) AS life FROM gaps
+), steps AS (
+  SELECT *, last_value(CASE WHEN event_type LIKE 'order%' THEN event_type END IGNORE NULLS)
+      OVER (PARTITION BY order_id, life ORDER BY us, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS stage,
+    min(us) OVER (PARTITION BY order_id, life) AS first_us,
+    row_number() OVER (PARTITION BY order_id, life ORDER BY us, rank) AS events,
+    lead(us) OVER (PARTITION BY order_id, life ORDER BY us, rank) - us AS silence FROM lives
+), judged AS (
+  SELECT *, event_type LIKE 'order%' AND coalesce(stage, '') || '>' || event_type NOT IN ({_LEGAL}) AS broken FROM steps
+), summed AS (
+  SELECT *, count(*) FILTER (WHERE broken) OVER (PARTITION BY order_id, life ORDER BY us, rank) AS illegal FROM judged
+), ready AS (
+  SELECT order_id, min(first_us) AS first_us, min(us) FILTER (WHERE event_type = 'order_ready_for_pickup') AS ready_us,
+    min(us) FILTER (WHERE event_type IN ('courier_assigned_order', 'order_delivered') OR event_type LIKE 'order_cancelled%') AS taken_us
+  FROM lives JOIN (SELECT order_id, life, min(us) AS first_us FROM lives GROUP BY ALL) USING (order_id, life) GROUP BY order_id, life
+)
+SELECT order_id, 'illegal' AS kind, make_timestamp(us) AS at, stage AS from_event, event_type AS event,
+  make_timestamp(first_us) AS first_at, CAST(NULL AS BIGINT) AS events, CAST(NULL AS BIGINT) AS illegal FROM summed WHERE broken
+UNION ALL SELECT order_id, 'quiet', make_timestamp(us + 14400000000), NULL, event_type, make_timestamp(first_us), events, illegal
+FROM summed WHERE silence IS NULL OR silence > 14400000000
+UNION ALL SELECT order_id, 'stuck', make_timestamp(ready_us + 900000000), NULL, 'order_ready_for_pickup', make_timestamp(first_us), NULL, NULL
+FROM ready WHERE ready_us IS NOT NULL AND (taken_us IS NULL OR taken_us > ready_us + 900000000)"""
+_SQL["lifecycle_transitions_stream"] = _SQL["lifecycle_transitions"]
+
+
+def _long_rows(sink, source, key, *metrics):
+    pairs = ", ".join(f"{{'metric': '{m}', 'value': CAST({m} AS DOUBLE)}}" for m in metrics)
+    return f"""SELECT '{sink}' AS sink, window_start AS at, {key} AS key, x.metric AS metric, x.value AS value
+FROM (SELECT *, unnest([{pairs}]) AS x FROM {source})"""
+
+
+_DELIVERY = ("event_count", "orders_created", "orders_delivered", "avg_delivery_time_min")
+_ONCE = f"""count(*) AS event_count, count(*) FILTER (WHERE event_type = 'order_created') AS orders_created,
+    count(*) FILTER (WHERE event_type = 'order_delivered') AS orders_delivered, avg(actual_delivery_time) AS avg_delivery_time_min
+    FROM (SELECT DISTINCT {_ORDER_COLUMNS} FROM ord)"""
+_PANE = "time_bucket(INTERVAL '5 minutes', event_time)"
+_COPIES = """SELECT '{sink}' AS sink, date_trunc('milliseconds', event_time) AS at, event_id AS key, 'copies' AS metric,
+CAST(sum(1 + CASE WHEN CAST(substr(order_id, 4) AS BIGINT) % 20 = 0 THEN 1 ELSE 0 END) AS DOUBLE) AS value FROM {feed} GROUP BY ALL"""
+_SQL["multi_query_rows"] = f""", once AS (SELECT {_PANE} AS window_start, {_ONCE} GROUP BY 1),
+once_by_zone AS (SELECT window_start - INTERVAL '5 minutes' * back AS window_start, user_zone_id AS zone_id, {_ONCE.replace(
+    "FROM (SELECT DISTINCT", f"FROM (SELECT {_PANE} AS window_start, unnest([0, 1]) AS back, * FROM (SELECT DISTINCT")}) GROUP BY 1, 2),
+flags AS (SELECT {_PANE} AS window_start, user_zone_id AS zone_id, count(*) AS total_events,
+    count(*) FILTER (WHERE anomaly_flag) AS anomaly_count, avg(actual_delivery_time) AS avg_delivery_min
+    FROM (SELECT DISTINCT {_ORDER_COLUMNS} FROM ord) GROUP BY 1, 2),
+rates AS (SELECT *, anomaly_count / total_events AS anomaly_rate,
+    avg_delivery_min > 45 OR anomaly_count / total_events > 0.05 AS zone_flagged FROM flags)
+{_COPIES.format(sink="orders", feed="ord")}
+UNION ALL {_COPIES.format(sink="couriers", feed="cou")}
+UNION ALL {_long_rows("kpi_orders_5min_tumbling", "once", "'-'", *_DELIVERY)}
+UNION ALL {_long_rows("kpi_orders_10min_hop5", "once_by_zone", "coalesce(zone_id, '-')", *_DELIVERY)}
+UNION ALL {_long_rows("kpi_zone_health", "health", "coalesce(zone_id, '-')", "orders_awaiting_pickup", "couriers_dispatched", "supply_gap")}
+UNION ALL {_long_rows("kpi_anomaly_zones", "rates", "coalesce(zone_id, '-')", "total_events", "anomaly_count", "avg_delivery_min", "anomaly_rate", "zone_flagged")}"""
 _SQL["courier_activity"] = _SQL["series_align"]
 _SQL["stuck_orders_stream"] = _SQL["stuck_orders"]
 _SQL["lifecycle_state_stream"] = _SQL["lifecycle_state"]

@@ -24,9 +24,10 @@ from ordertide.schemas import (
 )
 from ordertide.session import run_folder, use_utc
 from ordertide.sources import decode, kafka, readers, reference, sinks
-from ordertide.streaming import dedup, joins, lifecycle, sessions
+from ordertide.streaming import dedup, fan_out, joins, lifecycle, sessions
 from ordertide.streaming.pipeline import kpi_streams, start_all
 from ordertide.streaming.sinks import finish
+from ordertide.streaming.transitions import order_findings
 
 QUERIES = {}
 SHARE_DAY = datetime.date(2024, 1, 6)
@@ -79,6 +80,10 @@ class Tables:
     def replay(self):
         return Replay(self.spark, self.folder, {ORDER_FEED: self.orders, COURIER_FEED: self.couriers})
 
+    def hard_replay(self):
+        hard = {ORDER_FEED: feeds.harder(self.orders), COURIER_FEED: feeds.harder(self.couriers)}
+        return Replay(self.spark, f"{self.folder}#hard", hard)
+
 
 def naive(df):
     """Timestamps without a zone, as the given tables hold them."""
@@ -788,6 +793,18 @@ def _(t):
     return replay.result(lifecycle.stuck_orders(_both_streams(replay)))
 
 
+@query("lifecycle_transitions")
+def _(t):
+    return order_findings(tables.union_feeds(feeds.harder(t.orders), feeds.harder(t.couriers)))
+
+
+@query("lifecycle_transitions_stream")
+def _(t):
+    replay = t.hard_replay()
+    found = replay.result(order_findings(_both_streams(replay)))
+    return found.filter(~F.col("order_id").startswith("CLOSING"))
+
+
 @query("checkpoint_restart")
 def _(t):
     replay = t.replay()
@@ -812,6 +829,43 @@ def _(t):
     return counts
 
 
+def _long(rows, sink, at, key, *metrics):
+    """Every row of an output as (sink, at, key, metric, value)."""
+    named = [F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics]
+    rows = rows.select(F.lit(sink).alias("sink"), F.col(at).alias("at"), key.alias("key"), F.inline(F.array(*named)))
+    return rows
+
+
+@query("multi_query_rows")
+def _(t):
+    # Two runs of each topic; the second brings new events and every twentieth order's old ones again.
+    replay = t.replay()
+    e = F.substring("order_id", 4, 8).cast("bigint")
+    for feed, events in ((ORDER_FEED, t.orders), (COURIER_FEED, t.couriers)):
+        topic = f"{replay.folder}/topic-{feed}"
+        again = F.coalesce((e % 2 == 1) | (e % 20 == 0), F.lit(False))
+        for part in (events.filter(F.coalesce(e % 2 == 0, F.lit(True))), events.filter(again)):
+            kafka.messages(sinks.iso_times(part), feed).write.mode("append").parquet(topic)
+            raw = readers.stream_parquet(replay.session, topic, "key binary, value binary")
+            finish(fan_out.start_fan_out(raw, feed, f"{replay.folder}/out", f"{replay.folder}/checkpoint-{feed}"))
+    out = fan_out.outputs(t.spark, f"{replay.folder}/out")
+    zone, none = F.coalesce("zone_id", F.lit("-")), F.lit("-")
+    kpis = {
+        "kpi_orders_5min_tumbling": (none, "event_count", "orders_created", "orders_delivered", "avg_delivery_time_min"),
+        "kpi_orders_10min_hop5": (zone, "event_count", "orders_created", "orders_delivered", "avg_delivery_time_min"),
+        "kpi_zone_health": (zone, "orders_awaiting_pickup", "couriers_dispatched", "supply_gap"),
+        "kpi_anomaly_zones": (zone, "total_events", "anomaly_count", "avg_delivery_min", "anomaly_rate", "zone_flagged"),
+    }
+    rows = None
+    for name in ("orders", "couriers"):
+        copies = out[name].groupBy("event_id", "event_time").agg(F.count("*").alias("copies"))
+        one = _long(copies, name, "event_time", F.col("event_id"), "copies")
+        rows = one if rows is None else rows.unionByName(one)
+    for name, (key, *metrics) in kpis.items():
+        rows = rows.unionByName(_long(out[name], name, "window_start", key, *metrics))
+    return rows
+
+
 # Data quality and service analytics
 
 
