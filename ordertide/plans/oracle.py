@@ -831,6 +831,9 @@ UNION ALL {_long_rows("kpi_orders_5min_tumbling", "once", "'-'", *_DELIVERY)}
 UNION ALL {_long_rows("kpi_orders_10min_hop5", "once_by_zone", "coalesce(zone_id, '-')", *_DELIVERY)}
 UNION ALL {_long_rows("kpi_zone_health", "health", "coalesce(zone_id, '-')", "orders_awaiting_pickup", "couriers_dispatched", "supply_gap")}
 UNION ALL {_long_rows("kpi_anomaly_zones", "rates", "coalesce(zone_id, '-')", "total_events", "anomaly_count", "avg_delivery_min", "anomaly_rate", "zone_flagged")}"""
+_SQL["order_kpis_from_facts"] = _SQL["order_kpis"]
+_SQL["stage_times_from_facts"] = _SQL["stage_times"]
+_SQL["at_risk_from_facts"] = _SQL["at_risk_orders"]
 _SQL["courier_activity"] = _SQL["series_align"]
 _SQL["stuck_orders_stream"] = _SQL["stuck_orders"]
 _SQL["lifecycle_state_stream"] = _SQL["lifecycle_state"]

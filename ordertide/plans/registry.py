@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from ordertide import constants as C
 from ordertide.functions import columns as X
 from ordertide.operators import couriers as cour
-from ordertide.operators import enrich, pairs, quality, revenue, tables, windows
+from ordertide.operators import enrich, facts, pairs, quality, revenue, tables, windows
 from ordertide.operators import orders as ords
 from ordertide.operators import zones as zon
 from ordertide.plans import feeds
@@ -536,6 +536,33 @@ def _(t):
     return rounded(kpis, "p95_prep_time_min", "p95_travel_time_min", "p95_delivery_min")
 
 
+def _stored_facts(t):
+    """Facts of all but the last day, stored, then merged with those of the last day."""
+    orders, folder = t.orders, saved(t, "facts")
+    latest = orders.agg(F.max("event_time")).first()[0]
+    is_old = F.col("event_time") < F.lit(latest) - F.expr("interval 1 day")
+    name, buckets = f"facts_{folder[-32:]}", t.spark.sparkContext.defaultParallelism
+    old = facts.save_facts(facts.order_facts(orders.filter(is_old)), f"{name}_old", f"{folder}/old", buckets)
+    new = facts.order_facts(orders.filter(~F.coalesce(is_old, F.lit(False))))
+    return facts.save_facts(facts.merge_facts(old, new), name, f"{folder}/all", buckets)
+
+
+@query("order_kpis_from_facts")
+def _(t):
+    kpis = facts.order_kpis(_stored_facts(t))
+    return rounded(kpis, "p95_prep_time_min", "p95_travel_time_min", "p95_delivery_min")
+
+
+@query("stage_times_from_facts")
+def _(t):
+    return facts.stage_times(_stored_facts(t)).withColumn("avg_min", F.round("avg_min", 9))
+
+
+@query("at_risk_from_facts")
+def _(t):
+    return facts.at_risk_orders(_stored_facts(t))
+
+
 @query("cancellation_mix")
 def _(t):
     return ords.cancellation_mix(t.orders, C.ALL_CANCEL_TYPES)
