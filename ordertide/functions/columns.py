@@ -1,4 +1,8 @@
-"""Column expressions shared by the operators."""
+"""Column expressions shared by the operators.
+
+Days, hours and clock times are those of UTC, computed from epoch microseconds, whatever the
+session's time zone.
+"""
 
 from pyspark.sql import functions as F
 
@@ -80,7 +84,32 @@ def micros_of_day(ts):
 
 
 def minute_of_day(ts):
-    return F.hour(ts) * 60 + F.minute(ts)
+    return F.floor(micros_of_day(ts) / _MINUTE_US).cast("int")
+
+
+def hour_of_day(ts):
+    return F.floor(micros_of_day(ts) / (60 * _MINUTE_US)).cast("int")
+
+
+def day_start(ts):
+    """Midnight before a time."""
+    return F.timestamp_micros(F.unix_micros(ts) - micros_of_day(ts))
+
+
+def day_of(ts):
+    """The date of a time."""
+    return F.date_from_unix_date(((F.unix_micros(ts) - micros_of_day(ts)) / _DAY_US).cast("int"))
+
+
+def weekday_of(ts):
+    """Day of the week, Monday 0."""
+    return F.weekday(day_of(ts))
+
+
+def clock_text(ts, between=":"):
+    """Hour and minute of a time as text."""
+    two = [F.lpad(n.cast("string"), 2, "0") for n in (hour_of_day(ts), minute_of_day(ts) % 60)]
+    return F.concat(two[0], F.lit(between), two[1])
 
 
 def _clock_us(text):
@@ -97,13 +126,14 @@ def meal_period(ts):
 
 
 def is_weekend(ts):
-    return F.weekday(ts) >= 5
+    return weekday_of(ts) >= 5
 
 
 def is_holiday(ts, holidays):
     """Whether month and day of ``ts`` are among (month, day) pairs of a calendar."""
     keys = [month * 100 + day for month, day in holidays]
-    return (F.month(ts) * 100 + F.dayofmonth(ts)).isin(*keys)
+    day = day_of(ts)
+    return (F.month(day) * 100 + F.dayofmonth(day)).isin(*keys)
 
 
 def epoch_ms(column):

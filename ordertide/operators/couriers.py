@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ordertide.constants import BUCKET_MINUTES
-from ordertide.functions.columns import any_of, count_if, event_is, or_zero, time_bucket
+from ordertide.functions.columns import any_of, clock_text, count_if, day_start, event_is, or_zero, time_bucket
 
 
 def courier_kpis(couriers):
@@ -145,8 +145,8 @@ def zone_stress_pivot(ratios, labels, minutes=BUCKET_MINUTES):
     """
     named = ratios.join(labels, "zone_id", "left").select(
         F.coalesce("zone_label", "zone_id").alias("zone_label"),
-        F.date_trunc("day", "bucket").alias("day"),
-        F.concat(F.lit("t"), F.date_format("bucket", "HHmm")).alias("slot"),
+        day_start("bucket").alias("day"),
+        F.concat(F.lit("t"), clock_text("bucket", "")).alias("slot"),
         "demand_courier_ratio",
     )
     return (

@@ -25,7 +25,15 @@ from ordertide.constants import (
     SPAWN_SCALE,
     WEEKEND_MULTIPLIER,
 )
-from ordertide.functions.columns import event_is, is_holiday, is_weekend, meal_period, minute_of_day
+from ordertide.functions.columns import (
+    event_is,
+    hour_of_day,
+    is_holiday,
+    is_weekend,
+    meal_period,
+    minute_of_day,
+    weekday_of,
+)
 
 
 def route_lookup(events, matrix, origin, destination):
@@ -88,10 +96,8 @@ def step_demand_factor(ts, holidays, base=BASE_ORDERS_PER_MINUTE):
 def zone_demand_share(zones, day, holidays):
     """Chance of an order per zone and hour of a day, capped."""
     hours = zones.select("zone_id", "spawn_probability", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour"))
-    at = F.timestamp_micros(
-        F.unix_micros(F.lit(datetime.datetime(day.year, day.month, day.day)).cast("timestamp"))
-        + F.col("hour").cast("bigint") * F.lit(3_600_000_000)
-    )
+    midnight = (datetime.date(day.year, day.month, day.day) - datetime.date(1970, 1, 1)).days * 86_400_000_000
+    at = F.timestamp_micros(F.lit(midnight) + F.col("hour").cast("bigint") * F.lit(3_600_000_000))
     factor = demand_factor(at, holidays)
     return hours.select(
         "zone_id",
@@ -181,8 +187,8 @@ def promo_match(orders, hours):
         "order_id",
         "event_time",
         F.col("restaurant_category").alias("category"),
-        F.weekday("event_time").alias("weekday"),
-        F.hour("event_time").alias("hour"),
+        weekday_of("event_time").alias("weekday"),
+        hour_of_day("event_time").alias("hour"),
     )
     return created.join(hours, ["weekday", "hour", "category"], "left").select(
         "event_id", "order_id", "event_time", "category", "promo"
@@ -217,7 +223,7 @@ def match_day_tag(orders, minutes, zone="user_zone_id"):
         "event_type",
         "event_time",
         F.col(zone).alias("zone_id"),
-        F.weekday("event_time").alias("weekday"),
+        weekday_of("event_time").alias("weekday"),
         minute_of_day(F.col("event_time")).alias("minute"),
     )
     tagged = keyed.join(minutes, ["zone_id", "weekday", "minute"], "left")
@@ -279,7 +285,7 @@ def calendar_tags(events, holidays):
         is_weekend(ts).alias("is_weekend"),
         is_holiday(ts, holidays).alias("is_holiday"),
         meal_period(ts).alias("meal_period"),
-        F.hour(ts).alias("hour"),
+        hour_of_day(ts).alias("hour"),
     )
 
 

@@ -12,7 +12,7 @@ The functions return what those of the same name in ``orders`` return for the ev
 from pyspark.sql import functions as F
 
 from ordertide.constants import CANCEL_TYPES, SLA_MINUTES
-from ordertide.functions.columns import any_of, event_is, minutes_between, or_zero, positive
+from ordertide.functions.columns import any_of, day_of, event_is, minutes_between, or_zero, positive
 from ordertide.functions.refined import refined_quantiles
 from ordertide.session import run_folder
 
@@ -100,7 +100,7 @@ def order_kpis(facts, cancel_types=CANCEL_TYPES, sla=SLA_MINUTES):
     Durations count in whole microseconds, so that means and percentiles come from one table of counts.
     """
     events, now = _snapshot(facts)
-    today = F.unix_date(F.to_date("event_time")) == F.unix_date(F.to_date(now))
+    today = day_of("event_time") == day_of(now)
     created, delivered = event_is("order_created"), event_is("order_delivered")
     per_order = events.groupBy("order_id").agg(
         any_of(created).alias("created"),

@@ -9,6 +9,7 @@ from ordertide.constants import BUCKET_MINUTES, CANCEL_TYPES, ON_TIME_TARGET_PCT
 from ordertide.functions.columns import (
     any_of,
     count_orders,
+    day_of,
     event_is,
     minutes_between,
     or_zero,
@@ -44,7 +45,7 @@ def _snapshot(orders):
 def order_kpis(orders, cancel_types=CANCEL_TYPES, sla=SLA_MINUTES):
     """One row of order KPIs at the time of the latest created order."""
     events, now = _snapshot(orders)
-    today = F.to_date("event_time") == F.to_date(now)
+    today = day_of("event_time") == day_of(now)
     created, delivered = event_is("order_created"), event_is("order_delivered")
     cancelled = event_is(*cancel_types)
     prep = F.when(delivered, positive("actual_prep_time"))
@@ -184,23 +185,19 @@ def sla_gauge(orders, target=ON_TIME_TARGET_PCT, sla=SLA_MINUTES):
 
 
 def _spine(series, minutes):
-    """Every bucket between the first and the last one; the days are dealt out before their buckets are made."""
-    step = F.expr(f"interval {minutes} minutes")
-    ends = series.agg(F.min("bucket").alias("first"), F.max("bucket").alias("last"))
-    days = ends.select(
-        "first",
-        "last",
-        F.explode(F.sequence(F.date_trunc("day", "first"), F.date_trunc("day", "last"), F.expr("interval 1 day"))).alias(
-            "day"
-        ),
-    )
-    last_of_day = F.col("day") + F.expr("interval 1 day") - step
-    return days.repartition("day").select(
-        "day",
-        F.explode(
-            F.sequence(F.greatest("first", "day"), F.least(F.col("last"), last_of_day), step)
-        ).alias("bucket"),
-    )
+    """Every bucket between the first and the last one, in stretches of a day's worth of them.
+
+    The stretches (``day``, numbered from the first bucket) are dealt out before their buckets are made.
+    """
+    step = minutes * 60_000_000
+    per_day = max(1, 1440 // minutes)
+    us = F.unix_micros("bucket")
+    ends = series.agg(F.min(us).alias("first"), F.max(us).alias("last"))
+    days = ends.select("first", "last", F.explode(F.expr(f"sequence(0L, (last - first) div {step * per_day}L)")).alias("day"))
+    start = F.col("first") + F.col("day") * (step * per_day)
+    end = F.least(F.col("last"), start + step * (per_day - 1))
+    bucket = F.explode(F.sequence(start, end, F.lit(step).cast("bigint"))).alias("us")
+    return days.repartition("day").select("day", bucket).select("day", F.timestamp_micros("us").alias("bucket"))
 
 
 def orders_on_spine(orders, minutes=BUCKET_MINUTES, since=None, until=None):
@@ -411,5 +408,5 @@ def latest_day_flags(orders):
         "order_id",
         "event_type",
         "event_time",
-        (F.to_date("event_time") == F.to_date(now)).alias("on_latest_day"),
+        (day_of("event_time") == day_of(now)).alias("on_latest_day"),
     )

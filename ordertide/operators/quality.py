@@ -3,7 +3,17 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ordertide.functions.columns import any_of, count_if, event_is, minutes_between, or_zero, positive, time_bucket, to_time
+from ordertide.functions.columns import (
+    any_of,
+    count_if,
+    event_is,
+    hour_of_day,
+    minutes_between,
+    or_zero,
+    positive,
+    time_bucket,
+    to_time,
+)
 from ordertide.functions.quantiles import exact_quantiles
 from ordertide.operators.enrich import backfill_category, route_lookup
 from ordertide.operators.pairs import stage_pairs, weighted_mean
@@ -260,7 +270,7 @@ def dispatch_latency(orders, couriers):
         keep_first=("restaurant_zone_id",),
     ).filter((F.col("gap_min") >= 0) & F.col("restaurant_zone_id").isNotNull())
     return gaps.groupBy(
-        F.col("restaurant_zone_id").alias("zone_id"), F.hour("ready_at").cast("bigint").alias("hour")
+        F.col("restaurant_zone_id").alias("zone_id"), hour_of_day("ready_at").cast("bigint").alias("hour")
     ).agg(F.sum("pairs").alias("dispatches"), weighted_mean("gap_min").alias("avg_dispatch_min"))
 
 

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ordertide.constants import EVENT_LABELS
+from ordertide.functions.columns import clock_text, day_of
 from ordertide.schemas import COURIER_FEED, ORDER_FEED
 
 
@@ -48,8 +49,8 @@ def event_log(orders, couriers):
 
     fields = union_feeds(orders, couriers).select(
         "event_id",
-        F.coalesce(F.date_format("event_time", "yyyy-MM-dd"), F.lit("????-??-??")).alias("event_date"),
-        F.coalesce(F.date_format("event_time", "HH:mm"), F.lit("??:??")).alias("event_clock"),
+        F.coalesce(day_of("event_time").cast("string"), F.lit("????-??-??")).alias("event_date"),
+        F.coalesce(clock_text("event_time"), F.lit("??:??")).alias("event_clock"),
         label.alias("label"),
         or_dash("order_id").alias("order_ref"),
         or_dash("courier_id").alias("courier_ref"),

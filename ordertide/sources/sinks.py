@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ordertide.functions.columns import epoch_ms, rounded_int
+from ordertide.functions.columns import day_of, epoch_ms, rounded_int
 from ordertide.schemas import COURIER_RECORD, ORDER_FEED, ORDER_RECORD, record_symbols
 from ordertide.sources.avro_wire import has_connector
 
@@ -81,5 +81,5 @@ def write_events(events, path):
     Rows of a date are brought together first, and dates with very many rows are split
     again, which keeps the files few and of even size.
     """
-    dated = events.withColumn("event_date", F.to_date("event_time")).hint("rebalance", "event_date")
+    dated = events.withColumn("event_date", day_of("event_time")).hint("rebalance", "event_date")
     dated.write.partitionBy("event_date").mode("errorifexists").parquet(path)

@@ -17,6 +17,7 @@ late ones too. ``closed`` leaves out windows that a watermark would still keep o
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StructField, StructType
 
+from ordertide.functions.columns import day_of
 from ordertide.operators import panes
 from ordertide.schemas import COURIER_FEED, ORDER_FEED
 from ordertide.sources.decode import FEEDS, decode_feed
@@ -44,7 +45,7 @@ def unseen(rows, archive, batch_id):
     if low is None:
         return timed
     span = F.col("event_time").between(F.lit(low), F.lit(high))
-    days = F.col("event_date").between(F.to_date(F.lit(low)), F.to_date(F.lit(high)))
+    days = F.col("event_date").between(day_of(F.lit(low)), day_of(F.lit(high)))
     held = read_parquet_prefix(rows.sparkSession, archive, "event_id string, event_time timestamp, " + _PLACE)
     before = held.filter(F.col("batch_id") < batch_id).filter(days & span).select("event_id", "event_time").distinct()
     return timed.dropDuplicates(["event_id"]).join(before, ["event_id", "event_time"], "left_anti")
@@ -58,7 +59,7 @@ def batch_writer(feed, output, tables=None):
     def write(rows, batch_id):
         rows.persist()
         try:
-            dated = rows.withColumn("event_date", F.to_date("event_time"))
+            dated = rows.withColumn("event_date", day_of("event_time"))
             dated.write.mode("overwrite").partitionBy("event_date").parquet(_folder(output, archive, batch_id))
             fresh = unseen(rows, f"{output}/{archive}", batch_id).persist()
             try:

@@ -1,7 +1,6 @@
 """The six streaming queries of the platform, each with its own sink and checkpoint."""
 
-from pyspark.sql import functions as F
-
+from ordertide.functions.columns import day_of
 from ordertide.operators.windows import anomaly_zones, orders_hopping_kpi, orders_tumbling_kpi, zone_health
 from ordertide.schemas import COURIER_FEED, ORDER_FEED
 from ordertide.session import check_stream_session
@@ -54,7 +53,7 @@ def start_all(streams, output, checkpoints, interval=None, by_date=False):
     for name, stream in streams.items():
         dates = ()
         if by_date and "event_time" in stream.columns:
-            stream, dates = stream.withColumn("event_date", F.to_date("event_time")), ("event_date",)
+            stream, dates = stream.withColumn("event_date", day_of("event_time")), ("event_date",)
         queries[name] = start_parquet(stream, f"{output}/{name}", f"{checkpoints}/{name}", interval, name, dates)
     return queries
 

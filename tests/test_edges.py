@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from ordertide.functions import columns as X
 from ordertide.functions.quantiles import exact_quantiles
 from ordertide.operators import couriers as cour
-from ordertide.operators import enrich, pairs, quality, revenue, tables, windows
+from ordertide.operators import enrich, facts, pairs, quality, revenue, tables, windows
 from ordertide.operators import orders as ords
+from ordertide.plans.registry import Tables
 from ordertide.schemas import COURIER_EVENTS, ORDER_EVENTS, ORDER_FEED, ORDER_RECORD, ORDER_WIRE
 from ordertide.session import run_folder, stream_session
 from ordertide.sources import decode, kafka, readers, reference, sinks
@@ -498,3 +499,61 @@ def test_the_six_queries_start_and_stop(spark):
     plain = [spark.readStream.format("rate").load() for _ in topics]
     with pytest.raises(ValueError, match="stream_session"):
         start_pipeline(*plain, out, out + "-checkpoints")
+
+
+@pytest.mark.parametrize("minutes", [7, 15, 50, 1441])
+def test_spine_of_any_width(spark, minutes):
+    """Every creation and delivery is in one bucket of the spine, whether or not the width divides a day."""
+    rows = Tables(spark, "/root/testdata/sf0.001").orders
+    spine = ords.orders_on_spine(rows, minutes)
+    created = rows.filter("event_type = 'order_created'")
+    assert spine.agg(F.sum("orders_created")).first()[0] == created.count()
+    buckets = [r.us for r in spine.select(F.unix_micros("bucket").alias("us")).orderBy("us").collect()]
+    assert {b - a for a, b in zip(buckets, buckets[1:])} == {minutes * 60_000_000}
+    over_time = ords.orders_over_time(rows, minutes).orderBy("bucket").collect()
+    active, known = 0, {r.bucket: r for r in spine.collect()}
+    for r in over_time:
+        active += known[r.bucket].orders_created - known[r.bucket].orders_delivered
+        assert r.active_orders == max(active, 0)
+
+
+def test_results_do_not_depend_on_the_session_zone(spark):
+    """Days, hours and clock times are UTC's, under any session zone and across its clock changes."""
+    rows = Tables(spark, "/root/testdata/sf0.001")
+    orders, couriers = rows.orders, rows.couriers
+    shift = F.timestamp_micros(F.unix_micros("event_time") + 66 * 86_400_000_000)  # over a clock change in March
+    orders, couriers = (f.withColumn("event_time", shift).cache() for f in (orders, couriers))
+    assert orders.count() and couriers.count()
+    holidays = [(3, 10), (4, 1)]
+
+    def results():
+        labels = rows.zones.select("zone_id", F.col("district").alias("zone_label"))
+        ratios = cour.zone_demand_supply(orders, couriers)
+        frames = [
+            enrich.calendar_tags(orders, holidays),
+            ords.latest_day_flags(orders),
+            ords.order_kpis(orders),
+            cour.zone_stress_pivot(ratios, labels),
+            quality.dispatch_latency(orders, couriers),
+            orders.select("event_id", enrich.demand_factor(F.col("event_time"), holidays).alias("factor")),
+            tables.event_log(orders, couriers),
+            ords.orders_over_time(orders),
+            enrich.zone_demand_share(rows.zones, dt.date(2024, 3, 10), holidays),
+            facts.order_kpis(facts.order_facts(orders)),
+        ]
+        out = []
+        for frame in frames:
+            stamps = [c for c, kind in frame.dtypes if kind == "timestamp"]
+            frame = frame.withColumns({c: F.unix_micros(c) for c in stamps})
+            out.append(sorted(repr([round(v, 9) if isinstance(v, float) else v for v in r]) for r in frame.collect()))
+        return out
+
+    want = results()
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for k, (a, b) in enumerate(zip(results(), want, strict=True)):
+            assert a == b, k
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        orders.unpersist()
+        couriers.unpersist()
