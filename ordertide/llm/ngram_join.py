@@ -52,6 +52,8 @@ FIRST = 3
 HEAD = 8
 #: Shingles of a tree edge that are compared before the bound is tested again.
 PIECE = 64
+#: Words of bitmaps that are compared in one step.
+PAIR_WORDS = 1 << 19
 #: Parts in which the rows of one class are given its component; at most 64, one bit each.
 PARTS = 32
 
@@ -313,22 +315,42 @@ def block_links(block):
 GROUP = ["key", "kind", "i", "j"]
 
 
-def _differing(bits, a, b):
-    """In how many bits the bitmaps of rows a and b differ at least; the wider one is folded."""
-    out = np.zeros(len(a), np.int64)
-    size = np.array([len(x) for x in bits])
-    wide = np.maximum(size[a], size[b])
-    for w in np.unique(wide).tolist():
-        here = np.flatnonzero(wide == w)
-        narrow = np.minimum(size[a[here]], size[b[here]])
-        for v in np.unique(narrow).tolist():
-            pair = here[narrow == v]
-            both = []
-            for side in (a[pair], b[pair]):
-                rows = [np.bitwise_xor.reduce(np.frombuffer(bits[k], np.uint64).reshape(-1, v // 8), axis=0) for k in side]
-                both.append(np.stack(rows))
-            out[pair] = np.bitwise_count(both[0] ^ both[1]).sum(axis=1)
-    return out
+class Bitmaps:
+    """The bitmaps of many rows, each decoded once: a matrix for each width, and one folded to half of it.
+
+    Sizes that can link differ by a factor of 1.25 at most, so widths are equal or neighbours.
+    """
+
+    def __init__(self, bits):
+        self.width = np.array([len(x) // 8 for x in bits])
+        self.place, self.whole, self.half = np.zeros(len(bits), np.int64), {}, {}
+        for w in np.unique(self.width).tolist():
+            rows = np.flatnonzero(self.width == w)
+            self.place[rows] = np.arange(len(rows))
+            table = np.frombuffer(b"".join(bits[k] for k in rows), np.uint64).reshape(len(rows), w)
+            self.whole[w] = table
+            if w > 1:
+                self.half[w] = table[:, : w // 2] ^ table[:, w // 2 :]
+
+    def differing(self, a, b):
+        """In how many bits the bitmaps of rows a and b differ at least; the wider one is folded."""
+        out = np.zeros(len(a), np.int64)
+        wide = np.maximum(self.width[a], self.width[b])
+        for w in np.unique(wide).tolist():
+            same = self.width[a] == self.width[b]
+            for pairs, folded in ((np.flatnonzero((wide == w) & same), False), (np.flatnonzero((wide == w) & ~same), True)):
+                step = max(1, PAIR_WORDS // w)
+                for at in range(0, len(pairs), step):
+                    here = pairs[at : at + step]
+                    x, y = a[here], b[here]
+                    if folded:
+                        swap = self.width[x] < self.width[y]
+                        x, y = np.where(swap, y, x), np.where(swap, x, y)
+                        left, right = self.half[w], self.whole[w // 2]
+                    else:
+                        left = right = self.whole[w]
+                    out[here] = np.bitwise_count(left[self.place[x]] ^ right[self.place[y]]).sum(axis=1, dtype=np.int64)
+        return out
 
 
 def partners(rows):
@@ -344,15 +366,20 @@ def partners(rows):
         change = np.any(group[1:] != group[:-1], axis=1)
         start = np.concatenate(([0], np.cumsum(change)))
         cls, comp, n, pos, step = (table.column(c).to_numpy() for c in ("cls", "comp", "n", "pos", "step"))
-        bits = table.column("bits").to_pylist()
+        bitmaps = Bitmaps(table.column("bits").to_pylist())
         heads = np.full((len(n), HEAD), -1, np.int64)
         for k, h in enumerate(table.column("head").to_pylist()):
             heads[k, : len(h)] = h
         keep = np.zeros(len(n), bool)
-        for gap in range(1, int(np.bincount(start).max())):
-            a = np.flatnonzero(start[:-gap] == start[gap:])
-            b = a + gap
-            fit = (comp[a] != comp[b]) & (cls[a] != cls[b]) & (step[a] + step[b] < 2)
+        ends = np.cumsum(np.bincount(start))[start]  # where each row's block ends
+        left, gap = np.arange(len(start)), 0
+        while True:
+            gap += 1
+            left = left[left + gap < ends[left]]  # rows that have one so far behind them in their block
+            if not len(left):
+                break
+            a, b = left, left + gap
+            fit = (comp[a] != comp[b]) & (cls[a] != cls[b]) & (step[a] + step[b] < 2) & ~(keep[a] & keep[b])
             fit &= OF * np.minimum(n[a], n[b]) >= NEED * np.maximum(n[a], n[b])
             a, b = a[fit], b[fit]
             if not len(a):
@@ -361,7 +388,7 @@ def partners(rows):
             before = np.any(same.any(axis=2) & (np.arange(HEAD) < pos[a][:, None]), axis=1)
             a, b = a[~before], b[~before]
             total = n[a] + n[b]
-            near = _differing(bits, a, b) <= total - 2 * least_overlap(n[a], n[b])
+            near = bitmaps.differing(a, b) <= total - 2 * least_overlap(n[a], n[b])
             keep[a[near]] = keep[b[near]] = True
         return table.filter(pa.array(keep)).select(names)
 
@@ -520,10 +547,10 @@ def keep_first(docs):
             hit = _has(wanted.value, batch.column(0).to_numpy().view(np.uint64))
             yield batch.filter(pa.array(hit))
 
-    keyed = docs.select(key.alias("_at"), *docs.columns)
-    copies = keyed.mapInArrow(run, keyed.schema).dropDuplicates(["_at"])
-    copies = copies.join(twice, copies["_at"] == twice["_key"], "left_semi")
-    return rest.unionByName(copies.select(*docs.columns))
+    keyed = docs.select(key.alias("at"), F.struct(*docs.columns).alias("row"))
+    copies = keyed.mapInArrow(run, keyed.schema).dropDuplicates(["at"])
+    copies = copies.join(twice, copies["at"] == twice["_key"], "left_semi")
+    return rest.unionByName(copies.select("row.*"))
 
 
 def ngram_join_query(spark, sf_dir):

@@ -118,6 +118,28 @@ def test_large_groups_meet_in_blocks(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == label
 
 
+def test_bitmaps_differ_like_folded_ones(monkeypatch):
+    monkeypatch.setattr(ngram_join, "PAIR_WORDS", 3)
+    rng = np.random.default_rng(6)
+    rows = [rng.integers(0, 1 << 63, w, np.uint64) for w in (1, 2, 2, 4, 4, 8, 2, 1)]
+    pairs = [(i, j) for i in range(8) for j in range(8) if max(len(rows[i]), len(rows[j])) <= 2 * min(len(rows[i]), len(rows[j]))]
+    a, b = map(np.array, zip(*pairs))
+    want = []
+    for i, j in pairs:
+        narrow = min(len(rows[i]), len(rows[j]))
+        x, y = (np.bitwise_xor.reduce(rows[k].reshape(-1, narrow), axis=0) for k in (i, j))
+        want.append(int(np.bitwise_count(x ^ y).sum()))
+    assert ngram_join.Bitmaps([r.tobytes() for r in rows]).differing(a, b).tolist() == want
+
+
+def test_keep_first_with_clashing_columns(spark):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words), 1, 2, 3, 4), (1, " ".join(words), 1, 2, 3, 4), (2, " ".join(words[1:]), 1, 2, 3, 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _at int, at int, _key int, _stays int")
+    kept = ngram_join.keep_first(docs)
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == rows[:1]
+
+
 def test_copies_of_one_text_get_one_component(spark):
     words = [f"w{i}" for i in range(60)]
     rows = [(d, " ".join(words)) for d in range(5, 205)] + [(None, " ".join(words)), (300, " ".join(words[:58]))]
