@@ -257,6 +257,47 @@ def restaurant_weights(restaurants, multipliers, promo_categories, match_day=Tru
     )
 
 
+def promotion_hours(promotions):
+    """Multiplier of each category and hour from promotions with a time of validity.
+
+    ``promotions``: category, valid_from, valid_to (excluded), multiplier. A promotion holds in every
+    hour whose start it covers; where several do, the one that began last counts, of those the greater
+    multiplier. Spelled out into hours, the interval is an equality join. Rows with nulls or without
+    duration are left out.
+    """
+    hour = 3_600_000_000
+    first = F.ceil(F.unix_micros("valid_from") / hour).cast("bigint")
+    last = F.ceil(F.unix_micros("valid_to") / hour).cast("bigint") - 1
+    known = promotions.dropna(subset=["category", "valid_from", "valid_to", "multiplier"]).filter(last >= first)
+    spelled = known.select("category", "valid_from", "multiplier", F.explode(F.sequence(first, last)).alias("hour"))
+    best = spelled.groupBy("category", "hour").agg(F.max(F.struct("valid_from", "multiplier")).alias("best"))
+    return best.select("category", "hour", F.col("best.multiplier").alias("promo"))
+
+
+def restaurant_weights_at(restaurants, multipliers, hours, at, match_day=True):
+    """``restaurant_weights`` at each time of ``at`` (column ``at``), with the promotions that hold then.
+
+    ``hours`` comes from ``promotion_hours``; without a promotion the factor is 1. Shares of a zone
+    add up to 1 at each time. Times of one hour have equal weights, so they are computed once.
+    """
+    hour = F.floor(F.unix_micros("at") / 3_600_000_000).cast("bigint").alias("hour")
+    wanted = at.filter(F.col("at").isNotNull()).select("at", hour)
+    named = wanted.select("hour").distinct().agg(F.sort_array(F.collect_set("hour")).alias("hours")).scalar()
+    rows = restaurants.select("restaurant_id", "zone_id", "category", "matchday_sensitivity", F.explode(named).alias("hour"))
+    rows = rows.join(hours, ["category", "hour"], "left")
+    rows = rows.join(multipliers.select("zone_id", "category", "multiplier"), ["zone_id", "category"], "left")
+    weight = F.coalesce("promo", F.lit(1.0))
+    if match_day:
+        factor = F.lit(1.0)
+        for word, value in SENSITIVITY_WEIGHT.items():
+            factor = F.when(F.lower("matchday_sensitivity") == word, F.lit(value)).otherwise(factor)
+        weight = F.coalesce("multiplier", F.lit(1.0)) * weight * factor
+    rows = rows.select("restaurant_id", "zone_id", "category", "hour", F.greatest(F.lit(0.01), weight).alias("weight"))
+    totals = rows.groupBy("zone_id", "hour").agg(F.sum("weight").alias("total"))
+    rows = rows.join(totals, ["zone_id", "hour"]).join(wanted, "hour")
+    return rows.select("at", "restaurant_id", "zone_id", "category", "weight", (F.col("weight") / F.col("total")).alias("zone_share"))
+
+
 def prep_pressure(orders, restaurants):
     """Expected actual and estimated preparation time of created orders, and their gap.
 

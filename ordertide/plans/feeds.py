@@ -310,6 +310,18 @@ def match_effects(nation):
     )
 
 
+def promotions(nation):
+    """Promotions of a category with a time of validity, some of them at the same time."""
+    k = F.col("n_nationkey").cast("bigint")
+    start = F.unix_micros(F.lit("2024-01-01 00:00:00+00:00").cast("timestamp")) + (k * 7 % 100) * F.lit(3_600_000_000)
+    return nation.select(
+        _category(k).alias("category"),
+        F.timestamp_micros(start).alias("valid_from"),
+        F.timestamp_micros(start + (k + 6) * F.lit(3_600_000_000)).alias("valid_to"),
+        ((F.lit(11) + k % 9) / 10.0).alias("multiplier"),
+    )
+
+
 def match_schedule(nation):
     """Every fifth zone hosts a weekly match; the next zone feels it too."""
     k = F.col("n_nationkey").cast("bigint")

@@ -8,6 +8,7 @@ groups and range joins, where the Spark side takes routes that scale.
 from ordertide.constants import ORDER_EVENT_TYPES, TRANSITIONS
 from ordertide.operators.couriers import day_slots
 from ordertide.operators.quality import REQUIRED_BEFORE_DELIVERY, REQUIRED_ORDER_FIELDS
+from ordertide.plans.feeds import CATEGORIES
 
 _ORDER_COLUMNS = """event_id, event_type, event_version, event_time, ingestion_time, order_id, user_id,
 restaurant_id, courier_id, user_zone_id, restaurant_zone_id, estimated_prep_time, actual_prep_time,
@@ -831,6 +832,38 @@ UNION ALL {_long_rows("kpi_orders_5min_tumbling", "once", "'-'", *_DELIVERY)}
 UNION ALL {_long_rows("kpi_orders_10min_hop5", "once_by_zone", "coalesce(zone_id, '-')", *_DELIVERY)}
 UNION ALL {_long_rows("kpi_zone_health", "health", "coalesce(zone_id, '-')", "orders_awaiting_pickup", "couriers_dispatched", "supply_gap")}
 UNION ALL {_long_rows("kpi_anomaly_zones", "rates", "coalesce(zone_id, '-')", "total_events", "anomaly_count", "avg_delivery_min", "anomaly_rate", "zone_flagged")}"""
+_SQL["out_of_order_swapped"] = """SELECT event_id, order_id, event_type, event_time, latest_before,
+    (epoch_us(latest_before) - epoch_us(event_time)) / 6e7 AS behind_min
+  FROM (SELECT *, max(event_time) OVER (PARTITION BY order_id ORDER BY ingestion_time, event_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS latest_before
+    FROM (SELECT event_id, event_type, ingestion_time, order_id, CASE WHEN e % 71 <> 0 THEN event_time + to_minutes(CASE
+        WHEN event_type = 'order_delivered' AND e % 61 = 0 THEN 21600
+        WHEN event_type = 'order_delivered' AND e % 53 = 0 THEN 300
+        WHEN event_type = 'order_picked_up' AND e % 59 = 0 THEN 240 ELSE 0 END) END AS event_time
+      FROM (SELECT *, CAST(substr(order_id, 4) AS BIGINT) AS e FROM ord) WHERE e % 67 <> 0)) WHERE event_time < latest_before"""
+_SQL["out_of_order_stream"] = _SQL["out_of_order_swapped"]
+_SQL["courier_activity_rollup"] = """SELECT time_bucket(INTERVAL '1 day', event_time) AS bucket,
+    count(DISTINCT courier_id) FILTER (WHERE event_type = 'courier_assigned_order') AS active_couriers,
+    count(DISTINCT courier_id) FILTER (WHERE event_type = 'courier_online') AS online_couriers
+  FROM cou WHERE event_type IN ('courier_assigned_order', 'courier_online') GROUP BY 1"""
+_SQL["courier_activity_rollup_stream"] = _SQL["courier_activity_rollup"]
+_SQL["delivery_percentiles_sketch"] = """SELECT time_bucket(INTERVAL '15 minutes', delivered_at) AS bucket, count(*) AS n,
+    quantile_disc(full_delivery_min, 0.5) AS p50, quantile_disc(full_delivery_min, 0.95) AS p95 FROM cd GROUP BY 1"""
+_CATEGORY_NAMES = ", ".join(f"'{name}'" for name in CATEGORIES)
+_SQL["restaurant_weight_at"] = f""", promo AS (
+  SELECT [{_CATEGORY_NAMES}][n_nationkey % 7 + 1] AS category,
+    TIMESTAMP '2024-01-01' + to_hours(CAST(n_nationkey * 7 % 100 AS BIGINT)) AS valid_from,
+    TIMESTAMP '2024-01-01' + to_hours(CAST(n_nationkey * 7 % 100 + n_nationkey + 6 AS BIGINT)) AS valid_to,
+    (11 + n_nationkey % 9) / 10e0 AS multiplier FROM nation
+), times AS (SELECT DISTINCT time_bucket(INTERVAL '1 hour', event_time) AS "at" FROM ord
+    WHERE event_type = 'order_created' AND event_time < TIMESTAMP '2024-01-04'
+), held AS (SELECT "at", category, arg_max(multiplier, (valid_from, multiplier)) AS factor
+    FROM times JOIN promo ON "at" >= valid_from AND "at" < valid_to GROUP BY ALL
+), w AS (SELECT "at", restaurant_id, zone_id, category, greatest(0.01e0, coalesce(m.multiplier, 1e0) * coalesce(factor, 1e0)
+      * CASE matchday_sensitivity WHEN 'high' THEN 1.2e0 WHEN 'low' THEN 0.9e0 ELSE 1e0 END) AS weight
+    FROM times CROSS JOIN rest LEFT JOIN multipliers m USING (zone_id, category) LEFT JOIN held USING ("at", category))
+SELECT "at", restaurant_id, zone_id, category, round(weight, 9) AS weight,
+  round(weight / sum(weight) OVER (PARTITION BY "at", zone_id), 9) AS zone_share FROM w"""
 _SQL["order_kpis_from_facts"] = _SQL["order_kpis"]
 _SQL["stage_times_from_facts"] = _SQL["stage_times"]
 _SQL["at_risk_from_facts"] = _SQL["at_risk_orders"]

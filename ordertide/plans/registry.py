@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from ordertide import constants as C
 from ordertide.functions import columns as X
 from ordertide.operators import couriers as cour
-from ordertide.operators import enrich, facts, pairs, quality, revenue, tables, windows
+from ordertide.operators import enrich, facts, pairs, quality, revenue, sketches, tables, windows
 from ordertide.operators import orders as ords
 from ordertide.operators import zones as zon
 from ordertide.plans import feeds
@@ -25,6 +25,7 @@ from ordertide.schemas import (
 from ordertide.session import run_folder, use_utc
 from ordertide.sources import decode, kafka, readers, reference, sinks
 from ordertide.streaming import dedup, fan_out, joins, lifecycle, sessions
+from ordertide.streaming.arrival import out_of_order_stream
 from ordertide.streaming.pipeline import kpi_streams, start_all
 from ordertide.streaming.sinks import finish
 from ordertide.streaming.transitions import order_findings
@@ -599,6 +600,25 @@ def _(t):
     return cour.courier_kpis(t.couriers)
 
 
+@query("courier_activity_rollup")
+def _(t):
+    quarter_hours = sketches.courier_sketches(t.couriers)
+    hours = sketches.merged_couriers(quarter_hours, 60)
+    return sketches.courier_counts(sketches.merged_couriers(hours, 1440))
+
+
+@query("courier_activity_rollup_stream")
+def _(t):
+    replay = t.replay()
+    kept = replay.result(sketches.courier_sketches(replay.stream(COURIER_FEED)))
+    return sketches.courier_counts(sketches.merged_couriers(kept, 1440))
+
+
+@query("delivery_percentiles_sketch")
+def _(t):
+    return sketches.delivery_percentiles(sketches.merged_deliveries(sketches.delivery_sketches(t.orders, 5), 15))
+
+
 @query("courier_activity")
 def _(t):
     return cour.courier_activity(t.couriers)
@@ -921,6 +941,18 @@ def _(t):
     return quality.out_of_order(t.orders)
 
 
+@query("out_of_order_swapped")
+def _(t):
+    return quality.out_of_order(feeds.harder(t.orders))
+
+
+@query("out_of_order_stream")
+def _(t):
+    replay = t.replay()
+    slices = time_slices(feeds.harder(t.orders), "ingestion_time", 3)
+    return replay.in_slices(ORDER_FEED, slices, out_of_order_stream)[0]
+
+
 @query("missing_steps")
 def _(t):
     return quality.missing_steps(t.orders)
@@ -1049,6 +1081,16 @@ def _(t):
     return weights.withColumns({"weight": F.round("weight", 9), "zone_share": F.round("zone_share", 9)})
 
 
+@query("restaurant_weight_at")
+def _(t):
+    # the hours of the first three days in which an order was made
+    made = t.orders.filter(F.col("event_type") == "order_created").select(X.time_bucket("event_time", 60).alias("at"))
+    at = made.filter(F.col("at") < F.lit("2024-01-04 00:00:00+00:00").cast("timestamp")).distinct()
+    hours = enrich.promotion_hours(feeds.promotions(t.read("nation")))
+    weights = enrich.restaurant_weights_at(t.restaurants, _multipliers(t), hours, at)
+    return weights.withColumns({"weight": F.round("weight", 9), "zone_share": F.round("zone_share", 9)})
+
+
 @query("prep_pressure")
 def _(t):
     return enrich.prep_pressure(t.orders, t.restaurants)
