@@ -1,12 +1,13 @@
 """Token ids in training order: fixed-stride shard files that are read in sequence and resumed anywhere.
 
 Texts are encoded and cut into sequences of ``LENGTH`` ids, the last one padded. Sequences are
-numbered as Spark numbers rows: a first pass counts those of each partition, a second adds the
-partition's base, and fails if a partition does not repeat its count. A keyed Feistel network over
+numbered as Spark numbers rows: a first pass counts those of each partition and digests its rows in
+their order, a second adds the partition's base, and fails if a partition does not repeat its count and its
+digest. A keyed Feistel network over
 the next even number of bits, walked until it lands inside, turns the number into the sequence's
 global slot: a permutation that needs no sort of the corpus and no memory. Slots are dealt out in
-ranges, one shard each; a shard is written by one task, in slot order, by Spark's own writer, so a
-lost executor leaves no half shard. A record is the ids as little-endian unsigned 16-bit integers
+ranges of equal length, one shard and one partition each; a shard is written by one task, in slot order, by
+Spark's own writer, so a lost executor leaves no half shard. A record is the ids as little-endian unsigned 16-bit integers
 and one closing byte, so slot s is at byte ``(s % per_shard) * STRIDE`` of shard ``s // per_shard``.
 
 Defined cases: null and empty texts have one sequence of a begin and an end id; each of several
@@ -14,6 +15,8 @@ equal rows has its own sequences; very long texts are many sequences; an empty t
 shard and an empty result; extra columns are ignored.
 """
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -48,33 +51,53 @@ def _sequences(counts):
     return -(-counts // LENGTH)
 
 
+class Order:
+    """A digest of a partition's ids and texts in their order, however they are cut into chunks."""
+
+    def __init__(self):
+        self.ids = self.lengths = self.bytes = 0
+
+    def add(self, ids, chunk):
+        self.ids = zlib.crc32("".join(f"{i}\n" for i in ids.to_pylist()).encode(), self.ids)
+        self.lengths = zlib.crc32(np.diff(chunk.offsets).tobytes(), self.lengths)
+        self.bytes = zlib.crc32(chunk.data, self.bytes)
+
+    def value(self):
+        return (self.ids << 31) ^ (self.lengths << 16) ^ self.bytes
+
+
 def count_sequences(docs, tables):
-    """doc_id, n_tokens, part (the partition) and first (sequences before it there) of every row."""
+    """doc_id, n_tokens, part (the partition), first (sequences before it there) and seen (digest of
+    the partition up to the end of the row's chunk) of every row."""
 
     def run(batches):
-        codec, done, part = Codec(tables.value), 0, TaskContext.get().partitionId()
+        codec, done, part, order = Codec(tables.value), 0, TaskContext.get().partitionId(), Order()
         for batch in batches:
             for at, to, chunk in chunks(batch, most=CHUNK):
                 counts = codec.encode(chunk)[1] + 2
                 n = _sequences(counts)
                 first = done + np.cumsum(n) - n
                 done += int(n.sum())
-                columns = [batch.column(0).slice(at, to - at), pa.array(counts), pa.array(np.full(to - at, part, np.int32))]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(first)], ["doc_id", "n_tokens", "part", "first"])
+                ids = batch.column(0).slice(at, to - at)
+                order.add(ids, chunk)
+                columns = [ids, pa.array(counts), pa.array(np.full(to - at, part, np.int32)), pa.array(first)]
+                columns.append(pa.array(np.full(to - at, order.value(), np.int64)))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "part", "first", "seen"])
 
-    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens bigint, part int, first bigint"
+    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens bigint, part int, first bigint, seen bigint"
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def records(docs, tables, bases, total):
-    """slot and record of every sequence. bases: partition -> (sequences before it, its own)."""
+    """slot and record of every sequence. bases: partition -> (sequences before it, its own, its digest)."""
     bases = docs.sparkSession.sparkContext.broadcast(bases)
 
     def run(batches):
-        codec, (base, own) = Codec(tables.value), bases.value.get(TaskContext.get().partitionId(), (0, 0))
-        done = 0
+        base, own, seen = bases.value.get(TaskContext.get().partitionId(), (0, 0, 0))
+        codec, done, order = Codec(tables.value), 0, Order()
         for batch in batches:
             for at, to, chunk in chunks(batch, most=CHUNK):
+                order.add(batch.column(0).slice(at, to - at), chunk)
                 ids, counts = with_ends(*codec.encode(chunk), codec.t["bos"], codec.t["eos"])
                 n = _sequences(counts)
                 flat = np.zeros((int(n.sum()), STRIDE), np.uint8)
@@ -88,8 +111,8 @@ def records(docs, tables, bases, total):
                 ends = (np.arange(len(flat) + 1) * 2 * LENGTH).astype(np.int32)
                 body = pa.Array.from_buffers(pa.binary(), len(flat), [None, pa.py_buffer(ends), pa.py_buffer(body)])
                 yield pa.RecordBatch.from_arrays([pa.array(slots), body], ["slot", "record"])
-        if done != own:
-            raise RuntimeError("a partition did not repeat its sequences; write the input to a table first")
+        if (done, order.value()) != (own, seen):
+            raise RuntimeError("a partition did not repeat its rows in order; write the input to a table first")
 
     return docs.select("doc_id", "text").mapInArrow(run, "slot bigint, record binary")
 
@@ -101,19 +124,20 @@ def write_shards(docs, model, path, per_shard=PER_SHARD):
     docs = docs.select("doc_id", "text")
     counted = saved(count_sequences(docs, tables), "sequence-counts")
     n = F.ceil(F.col("n_tokens") / LENGTH)
-    parts = counted.groupBy("part").agg(F.sum(n).cast("long").alias("n")).orderBy("part").collect()  # one row a partition
+    last = F.max_by("seen", "first").alias("seen")
+    parts = counted.groupBy("part").agg(F.sum(n).cast("long").alias("n"), last).orderBy("part").collect()  # one row a partition
     bases, total = {}, 0
     for row in parts:
-        bases[row.part] = (total, row.n)
+        bases[row.part] = (total, row.n, row.seen)
         total += row.n
     shards = -(-total // per_shard)
     if total:
         rows = records(docs, tables, bases, total)
         rows = rows.select(F.floor(F.col("slot") / per_shard).cast("int").alias("shard"), "slot", F.col("record").cast("string").alias("value"))
-        rows = rows.repartition(shards, "shard").sortWithinPartitions("shard", "slot")
+        rows = rows.repartitionById(shards, "shard").sortWithinPartitions("shard", "slot")
         rows.select("shard", "value").write.partitionBy("shard").option("lineSep", "\n").text(path)
 
-    first = {part: base for part, (base, _) in bases.items()}
+    first = {part: base for part, (base, _, _) in bases.items()}
 
     def run(batches):
         for batch in batches:
