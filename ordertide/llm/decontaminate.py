@@ -5,8 +5,9 @@ sketch of its shingles, k by partition, and a document is a candidate if it hold
 sketch: items of the first partition are their own sketch, so their search is exact; in the
 others an item of which 80 % are in the document misses with a chance below 1e-9. A document
 needs no sketch of its own, however long it is: one pass over its whole text keeps those of its
-shingles that a Bloom filter of bounded size over all item shingles lets through. Candidates are
-then verified by exact containment: shared shingles over item shingles of at least 0.8.
+shingles that a Bloom filter of bounded size over all item shingles lets through. They are joined with the
+sketches alone; only for the candidates found so are all shingles of an item looked up
+and verified by exact containment: shared shingles over item shingles of at least 0.8.
 
 Defined cases: items of fewer than five words have no shingle and match nothing, as do null and
 empty texts; items with equal texts match alike; rows that repeat an id count as one document
@@ -79,22 +80,25 @@ def document_hits(docs, bloom):
     return docs.select("doc_id", "text").where("doc_id IS NOT NULL").mapInArrow(run, schema).distinct()
 
 
+def candidates(hits, sketches):
+    """doc_id, item_id, n_item and in_sketch of every pair in which enough of the item's sketch is found."""
+    found = hits.join(sketches.where("sketched"), "token").groupBy("doc_id", "item_id")
+    found = found.agg(F.count("*").alias("in_sketch"), F.max("need").alias("need"), F.max("n").alias("n_item"))
+    return saved(found.where("in_sketch >= need").drop("need"), "item-candidates")
+
+
 def contaminated(docs, items):
     """doc_id, item_id, n_item and n_shared of every item that a document contains."""
     sketches = saved(item_sketches(items), "item-shingles")
     bloom = bloom_of(sketches.select("token").distinct(), FILTER_WORDS)
     hits = saved(document_hits(docs, bloom), "item-hits")
-    found = hits.join(sketches, "token").groupBy("doc_id", "item_id")
-    found = found.agg(
-        F.count("*").alias("n_shared"),
-        F.count_if("sketched").alias("in_sketch"),
-        F.max("need").alias("need"),
-        F.max("n").alias("n_item"),
-    )
-    candidates = found.where("in_sketch >= need")
-    return candidates.where(100 * F.col("n_shared") >= NEED_PERCENT * F.col("n_item")).select(
-        "doc_id", "item_id", "n_item", "n_shared"
-    )
+    found = candidates(hits, sketches)
+    whole = found.where(F.col("n_item") <= PARTITIONS[0][0])  # the sketch is the item, its count exact
+    large = found.where(F.col("n_item") > PARTITIONS[0][0]).select("doc_id", "item_id", "n_item")
+    pairs = large.join(sketches.select("item_id", "token"), "item_id").join(hits, ["doc_id", "token"])
+    shared = pairs.groupBy("doc_id", "item_id", "n_item").agg(F.count("*").alias("n_shared"))
+    both = shared.unionByName(whole.select("doc_id", "item_id", "n_item", F.col("in_sketch").alias("n_shared")))
+    return both.where(100 * F.col("n_shared") >= NEED_PERCENT * F.col("n_item"))
 
 
 def clean(docs, items):
