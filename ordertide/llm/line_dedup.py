@@ -87,14 +87,15 @@ def _without(lines, gone):
 
 
 def dedup_lines(docs, min_sites=MIN_SITES, sketch=SKETCH, min_words=MIN_WORDS, count=None, short=True):
-    """The documents without boilerplate lines; ``count`` names a column for the number of lines removed."""
+    """The documents without boilerplate lines; ``count`` names a column for the number of lines removed,
+    which takes the place of one of that name."""
     gone = removed_lines(docs, widespread_lines(docs, min_sites, sketch, min_words, short), min_words, short)
     gone = gone.select(F.col("row").alias("_row"), F.col("id").alias("_id"), F.col("gone").alias("_gone"))
     joined = docs.join(gone, (_row_key(docs) == gone["_row"]) & docs["doc_id"].eqNullSafe(gone["_id"]), "left")
     text = F.when(gone["_gone"].isNull(), docs["text"]).otherwise(
         _without(F.split(docs["text"], "\n", -1), gone["_gone"])
     )
-    columns = [text.alias("text") if c == "text" else docs[c] for c in docs.columns]
+    columns = [text.alias("text") if c == "text" else docs[c] for c in docs.columns if c.lower() != (count or "").lower()]
     if count:
         columns.append(F.coalesce(F.size(gone["_gone"]), F.lit(0)).cast("long").alias(count))
     return joined.select(*columns)
@@ -102,7 +103,7 @@ def dedup_lines(docs, min_sites=MIN_SITES, sketch=SKETCH, min_words=MIN_WORDS, c
 
 def line_dedup_query(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
-    out = dedup_lines(docs, count="n_removed", short=False)  # as its SQL says
+    out = dedup_lines(docs, count="n_removed")
     return out.select("doc_id", "n_removed", F.md5(F.encode("text", "UTF-8")).alias("kept_md5"))
 
 
@@ -113,12 +114,12 @@ WITH split AS (
   FROM documents WHERE text IS NOT NULL),
 keyed AS (
   SELECT doc_id, source, pos, line,
-         CASE WHEN regexp_matches(line, '([^ \\t\\x0b\\f\\r]+[ \\t\\x0b\\f\\r]+){{{MIN_WORDS - 1}}}[^ \\t\\x0b\\f\\r]')
-              THEN trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) END AS key
+         nullif(trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)), '') AS key
   FROM split),
 wide AS (
   SELECT key, min(doc_id) AS first_id FROM keyed WHERE key IS NOT NULL
-  GROUP BY key HAVING count(DISTINCT coalesce(source, chr(1))) >= {MIN_SITES}),
+  GROUP BY key HAVING count(DISTINCT coalesce(source, chr(1))) >= {MIN_SITES}
+    * ({MIN_WORDS} + 1 - least({MIN_WORDS}, len(string_split_regex(key, '[ \\t\\x0b\\f\\r]+'))))),
 judged AS (
   SELECT k.doc_id, k.pos, k.line, w.key IS NOT NULL AND w.first_id IS DISTINCT FROM k.doc_id AS gone
   FROM keyed k LEFT JOIN wide w USING (key))
