@@ -1,12 +1,12 @@
 """URL verdicts: longest host-and-path rule, else a list of canonical URLs behind a blocked Bloom filter.
 
-The filter is a table of at most ``BLOCKS`` rows of 256 bits, so it can be broadcast whatever the
-size of the list. It passes listed URLs and a few others; only those reach the exact join on
+The filter is a table of 256-bit rows, one for ``KEYS`` listed URLs and at most ``BLOCKS``, so it can be
+broadcast whatever the size of the list. It passes listed URLs and a few others; only those reach the exact join on
 the canonical URL, which removes the false ones.
 
 Defined cases: null URLs and such without ``://`` have an empty host and path and are allowed; an
 empty list allows what no rule judges; listed nulls are ignored and repeated ones count once;
-repeated pages are judged alike; extra columns pass through.
+repeated pages are judged alike; extra columns pass through, whatever their names, but for those of the result.
 """
 
 from pyspark.sql import functions as F
@@ -19,8 +19,10 @@ RULES = (
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 )
-#: Blocks of four 64-bit words; 1.3 MB in all. A key sets one bit of each word.
-BLOCKS = 1 << 15
+#: Blocks of four 64-bit words at most, 10 MB in all, and keys for each. A key sets one bit of each word.
+BLOCKS, KEYS = 1 << 18, 16
+#: Host labels of junk sites, by their beginnings.
+JUNK = r"(^|\.)(spam-|casino-|free-bets|cheap-pills|adult-|ads-track)"
 #: Query parameters that do not change what a URL names.
 TRACKING = r"^(utm_.*|ref|fbclid|gclid)(=.*)?$"
 
@@ -56,8 +58,13 @@ def _rule(host, path, rules, value):
     return F.lit(None).cast("string") if out is None else out
 
 
-def _block(key):
-    return F.pmod(F.xxhash64(key), F.lit(BLOCKS))
+def _block(key, blocks):
+    return F.pmod(F.xxhash64(key), F.lit(blocks))
+
+
+def blocks_for(n):
+    """Blocks of a filter of n keys: a power of two."""
+    return min(BLOCKS, 1 << (max(n, 1) // KEYS).bit_length())
 
 
 def _bits(key):
@@ -66,46 +73,52 @@ def _bits(key):
     return [F.call_function("shiftleft", one, F.shiftright(h, 6 * i).bitwiseAND(63).cast("int")) for i in range(4)]
 
 
-def blocked_bloom(keys, column):
-    """_block and the words _w0 .. _w3 of the filter; one row for each block that is not empty."""
-    words = [F.bit_or(bit).alias(f"_w{i}") for i, bit in enumerate(_bits(F.col(column)))]
-    return keys.where(F.col(column).isNotNull()).groupBy(_block(F.col(column)).alias("_block")).agg(*words)
+def blocked_bloom(keys, column, blocks, tag="_"):
+    """block and the words w0 .. w3 of the filter, after ``tag``; one row for each block that is not empty."""
+    words = [F.bit_or(bit).alias(f"{tag}w{i}") for i, bit in enumerate(_bits(F.col(column)))]
+    return keys.where(F.col(column).isNotNull()).groupBy(_block(F.col(column), blocks).alias(f"{tag}block")).agg(*words)
 
 
 def judge_urls(pages, listed, rules=RULES):
     """The pages with host, path, rule and verdict; ``listed`` has one column of canonical URLs to block."""
-    listed = listed.toDF("_listed").where("_listed IS NOT NULL").distinct()
+    tag = "_"
+    while any(c.startswith(tag) for c in pages.columns):  # temporary columns clash with none
+        tag += "_"
+    key, said, at, maybe, known, inside = (f"{tag}{c}" for c in ("key", "said", "at", "maybe", "listed", "in"))
+    listed = listed.toDF(known).where(F.col(known).isNotNull()).distinct()
+    blocks = blocks_for(listed.count())
     url = pages["url"]
-    known = [pages[c] for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    rows = pages.select(*known, host_of(url).alias("host"), path_of(url).alias("path"), canonical(url).alias("_key"))
+    extra = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
+    rows = pages.select(*(pages[c] for c in extra), host_of(url).alias("host"), path_of(url).alias("path"), canonical(url).alias(key))
     rows = rows.withColumns(
         {
             "rule": _rule(F.col("host"), F.col("path"), rules, lambda r: r[0] + r[1]),
-            "_said": _rule(F.col("host"), F.col("path"), rules, lambda r: r[2]),
+            said: _rule(F.col("host"), F.col("path"), rules, lambda r: r[2]),
+            at: _block(F.col(key), blocks),
         }
     )
-    rows = rows.withColumn("_at", _block(F.col("_key")))
-    rows = rows.join(F.broadcast(blocked_bloom(listed, "_listed")), F.col("_at") == F.col("_block"), "left")
+    bloom = blocked_bloom(listed, known, blocks, tag)
+    rows = rows.join(F.broadcast(bloom), F.col(at) == F.col(f"{tag}block"), "left")
     hit = F.lit(True)
-    for i, bit in enumerate(_bits(F.col("_key"))):
-        hit = hit & (F.col(f"_w{i}").bitwiseAND(bit) != 0)
-    rows = rows.withColumn("_maybe", F.coalesce(F.col("_said").isNull() & F.col("_key").isNotNull() & hit, F.lit(False)))
-    out = [c for c in rows.columns if not c.startswith("_")] + ["_said"]
-    sure = rows.where(~F.col("_maybe")).select(*out, F.lit(False).alias("_in"))
-    maybe = rows.where("_maybe").join(listed, F.col("_key") == F.col("_listed"), "left")
-    both = sure.unionByName(maybe.select(*out, F.col("_listed").isNotNull().alias("_in")))
-    method = F.when(F.col("_in"), "block").otherwise("allow")
-    return both.withColumn("verdict", F.coalesce("_said", method)).drop("_said", "_in")
+    for i, bit in enumerate(_bits(F.col(key))):
+        hit = hit & (F.col(f"{tag}w{i}").bitwiseAND(bit) != 0)
+    rows = rows.withColumn(maybe, F.coalesce(F.col(said).isNull() & F.col(key).isNotNull() & hit, F.lit(False)))
+    out = [*extra, "host", "path", "rule", said]
+    sure = rows.where(~F.col(maybe)).select(*out, F.lit(False).alias(inside))
+    hits = rows.where(maybe).join(listed, F.col(key) == F.col(known), "left")
+    both = sure.unionByName(hits.select(*out, F.col(known).isNotNull().alias(inside)))
+    method = F.when(F.col(inside), "block").otherwise("allow")
+    return both.withColumn("verdict", F.coalesce(said, method)).drop(said, inside)
 
 
-def spam_urls(pages):
-    """The list of the registered query: canonical URLs of all pages on hosts with a label that starts with spam-."""
-    return pages.where(host_of(F.col("url")).rlike(r"(^|\.)spam-")).select(canonical(F.col("url")).alias("url"))
+def junk_urls(pages):
+    """The list of the registered query: canonical URLs of all pages on hosts with a junk label."""
+    return pages.where(host_of(F.col("url")).rlike(JUNK)).select(canonical(F.col("url")).alias("url"))
 
 
 def url_query(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
-    return judge_urls(pages, spam_urls(pages)).select("page_id", "host", "path", "rule", "verdict")
+    return judge_urls(pages, junk_urls(pages)).select("page_id", "host", "path", "rule", "verdict")
 
 
 _SQL_PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?"
@@ -118,7 +131,7 @@ WITH u AS (
 k AS (
   SELECT *, CASE WHEN contains(url, '://') THEN host || rtrim(path, '/') ||
     CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END END AS key FROM u),
-l AS (SELECT DISTINCT key FROM k WHERE regexp_matches(host, '(^|\\.)spam-')),
+l AS (SELECT DISTINCT key FROM k WHERE regexp_matches(host, '{JUNK}')),
 r(h, p, v) AS (VALUES {", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)}),
 b AS (
   SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(v, length(h || p)) AS v

@@ -277,6 +277,30 @@ def test_line_dedup_short_lines_need_more_sites(spark):
     assert line_dedup.dedup_lines(docs, short=False).where(F.contains("text", F.lit("Menu"))).count() == 120
 
 
+def test_line_count_replaces_a_column(spark):
+    rows = [(i, "a shared line of six words", f"s{i}", 9) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, N_Removed int")
+    got = line_dedup.dedup_lines(docs, count="n_removed")
+    assert got.columns == ["doc_id", "text", "source", "n_removed"]
+    assert sorted(r.n_removed for r in got.collect()) == [0, 1, 1, 1, 1, 1]
+
+
+def test_only_candidates_are_verified(spark):
+    words = [f"w{k}" for k in range(2000)]
+    items = [(k, " ".join(words[100 * k : 100 * k + n])) for k, n in enumerate((20, 36, 37, 90, 260, 400, 1000))]
+    texts = {d: " ".join(words[40 * d : 40 * d + 700]) for d in range(30)} | {99: " ".join(words[::2]), 100: " ".join(words)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {tuple(r) for r in decontaminate.contaminated(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = set()
+    for item, text in items:
+        own = shingle_set(text, whole=False)
+        for d, t in texts.items():
+            both = len(own & shingle_set(t, whole=False))
+            if 100 * both >= 80 * len(own):
+                want.add((d, item, len(own), both))
+    assert got == want and {w[1] for w in want} == set(range(7))  # items of all three partitions
+
+
 def test_decontamination(spark, docs, texts, empty):
     given = texts[3].split()
     items = [(1, " ".join(given[3:30])), (2, " ".join(given[3:20]).upper()), (3, "too few words"), (4, None), (5, "")]
@@ -367,6 +391,45 @@ def test_token_shards(spark, docs, texts, empty, tmp_path):
     assert token_shards.write_shards(empty, model, str(tmp_path / "none")).count() == 0
 
 
+def test_shards_are_ranges_written_by_one_task_each(spark, docs, tmp_path):
+    path = tmp_path / "shards"
+    n = token_shards.write_shards(docs, sentencepiece_bpe.model_path(), str(path), per_shard=20).count()
+    shards = sorted(path.glob("shard=*"), key=lambda p: int(p.name.split("=")[1]))
+    assert [p.name for p in shards] == [f"shard={k}" for k in range(-(-n // 20))] and len(shards) > 9
+    files = [list(p.glob("part-*")) for p in shards]
+    assert [len(f) for f in files] == [1] * len(shards)
+    assert [f[0].name[5:10] for f in files] == [f"{k:05}" for k in range(len(shards))]  # the task is the range
+    assert [f[0].stat().st_size // token_shards.STRIDE for f in files] == [20] * (len(shards) - 1) + [n - 20 * (len(shards) - 1)]
+
+
+def test_shards_of_rows_in_another_order_are_refused(spark, tmp_path):
+    path, codec = str(tmp_path / "t"), spark.sparkContext.broadcast(sentencepiece_bpe.load(sentencepiece_bpe.model_path()))
+    spark.createDataFrame([(1, "one two"), (2, "two one"), (3, None)], "doc_id long, text string").coalesce(1).write.parquet(path)
+    docs = spark.read.parquet(path)
+    counted = token_shards.count_sequences(docs, codec).collect()
+    bases = {0: (0, len(counted), counted[-1].seen)}
+    assert token_shards.records(docs, codec, bases, 3).count() == 3
+    for other in (docs.orderBy(F.desc("doc_id")).coalesce(1), docs.withColumn("doc_id", F.lit(7)), docs.where("doc_id < 3")):
+        with pytest.raises(Exception, match="did not repeat its rows in order"):
+            token_shards.records(other, codec, bases, 3).collect()
+
+
+def test_url_columns_clash_with_nothing(spark):
+    pages = spark.createDataFrame([("http://a.net/x", 1, "k", "h", "v"), (None, 2, None, None, None)], "url string, _key int, __in string, Host string, _block string")
+    listed = spark.createDataFrame([("a.net/x",)], "u string")
+    got = url_filter.judge_urls(pages, listed)
+    assert got.columns == ["url", "_key", "__in", "_block", "host", "path", "rule", "verdict"]
+    assert sorted((r._key, r["__in"] or "", r.host, r.verdict) for r in got.collect()) == [(1, "k", "a.net", "block"), (2, "", "", "allow")]
+
+
+def test_one_url_of_a_host_is_listed(spark):
+    pages = spark.createDataFrame([(k, f"http{'s' * (k % 2)}://a.net/p{k // 2}/?utm_x={k}") for k in range(400)], "page_id long, url string")
+    listed = pages.where("page_id % 10 = 0").select(url_filter.canonical(F.col("url")))
+    got = {r.page_id for r in url_filter.judge_urls(pages, listed).where("verdict = 'block'").collect()}
+    assert got == {k for k in range(400) if (k // 2) % 5 == 0}
+    assert [url_filter.blocks_for(n) for n in (0, 15, 16, 1600, 1 << 40)] == [1, 1, 2, 128, url_filter.BLOCKS]
+
+
 def test_url_verdicts(spark):
     urls = ["http://A.Example.ORG/es/x?q#f", "https://example.org/en/12", "https://notexample.org/en/1", "ftp://x.com/fr/1"]
     urls += ["http://x.com/de/", "http://com/de/", "http://net.net", "no scheme", None, "", "http://", "x://Y.net/p/?utm_a=1&b=2"]
