@@ -870,5 +870,24 @@ _SQL["at_risk_from_facts"] = _SQL["at_risk_orders"]
 _SQL["courier_activity"] = _SQL["series_align"]
 _SQL["stuck_orders_stream"] = _SQL["stuck_orders"]
 _SQL["lifecycle_state_stream"] = _SQL["lifecycle_state"]
+_REASONS = [f"CASE WHEN {name} IS NULL THEN 'missing {name}' END" for name in REQUIRED_ORDER_FIELDS] + [
+    "CASE WHEN event_type NOT IN (" + ", ".join(f"'{t}'" for t in ORDER_EVENT_TYPES) + ") THEN 'unknown event_type' END",
+    "CASE WHEN epoch_us(ingestion_time) - epoch_us(event_time) > 900000000 THEN 'late' END",
+]
+_JUDGED = f""", judged AS (SELECT event_id, event_type, list_filter([{", ".join(_REASONS)}], lambda r: r IS NOT NULL) AS reasons
+  FROM (SELECT * REPLACE (CASE WHEN e % 67 <> 0 THEN order_id END AS order_id,
+      CASE WHEN coalesce(e % 71 <> 0, true) THEN event_time + to_minutes(CASE
+        WHEN event_type = 'order_delivered' AND e % 61 = 0 THEN 21600
+        WHEN event_type = 'order_delivered' AND e % 53 = 0 THEN 300
+        WHEN event_type = 'order_picked_up' AND e % 59 = 0 THEN 240 ELSE 0 END) END AS event_time)
+    FROM (SELECT *, CAST(substr(order_id, 4) AS BIGINT) AS e FROM ord)))"""
+_SQL["quarantine_rows"] = f"""{_JUDGED}
+SELECT event_id, event_type, coalesce(array_to_string(list_sort(reasons), ', '), '') AS reasons FROM judged"""
+_SQL["quarantine_counts"] = f"""{_JUDGED}
+SELECT 'read' AS what, count(*) AS events FROM judged
+UNION ALL SELECT 'kept', count(*) FROM judged WHERE len(reasons) = 0
+UNION ALL SELECT 'quarantined', count(*) FROM judged WHERE len(reasons) > 0
+UNION ALL SELECT rule, count(event_id) FROM (SELECT unnest([{", ".join(f"'missing {n}'" for n in REQUIRED_ORDER_FIELDS)},
+    'unknown event_type', 'late']) AS rule) LEFT JOIN judged ON list_contains(reasons, rule) GROUP BY 1"""
 
 ORACLE = {name: _CTES + sql for name, sql in _SQL.items()}

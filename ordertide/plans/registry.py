@@ -24,7 +24,8 @@ from ordertide.schemas import (
 )
 from ordertide.session import run_folder, use_utc
 from ordertide.sources import decode, kafka, readers, reference, sinks
-from ordertide.streaming import dedup, fan_out, joins, lifecycle, sessions
+from ordertide.sources.decode import FEEDS
+from ordertide.streaming import dedup, fan_out, joins, lifecycle, quarantine, sessions
 from ordertide.streaming.arrival import out_of_order_stream
 from ordertide.streaming.pipeline import kpi_streams, start_all
 from ordertide.streaming.sinks import finish
@@ -807,6 +808,33 @@ def _(t):
     return replay.in_slices(ORDER_FEED, slices, windows.orders_tumbling_kpi)[0]
 
 
+@query("quarantine_counts")
+def _(t):
+    out, _ = _quarantine(t)
+    return quarantine.counts(t.spark, out).groupBy("what").agg(F.sum("events").alias("events"))
+
+
+@query("quarantine_rows")
+def _(t):
+    out, replay = _quarantine(t)
+    bad = quarantine.quarantined(t.spark, out, FEEDS[ORDER_FEED][1])
+    good = quarantine.kept(t.spark, out, FEEDS[ORDER_FEED][1]).withColumn("reasons", F.array().cast("array<string>"))
+    rows = without_closing(bad.unionByName(good))
+    return rows.select("event_id", "event_type", F.array_join("reasons", ", ").alias("reasons"))
+
+
+def _quarantine(t):
+    """The harder feed in three runs of one query: the folder it wrote, and its replay."""
+    replay = t.replay()
+    source, out = f"{replay.folder}/arriving", f"{replay.folder}/quarantine"
+    for part in time_slices(feeds.harder(t.orders), "ingestion_time", 3):
+        part.write.mode("append").parquet(source)
+        rows = readers.stream_parquet(replay.session, source, FEEDS[ORDER_FEED][1])
+        known = (quality.REQUIRED_ORDER_FIELDS, C.ORDER_EVENT_TYPES)
+        finish(quarantine.start_quarantine(rows, out, f"{replay.folder}/checkpoint-quarantine", *known))
+    return out, replay
+
+
 @query("append_mode_close")
 def _(t):
     # Without closing rows the windows within the watermark of the last event stay open.

@@ -3,13 +3,14 @@
 import datetime
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ordertide.operators import panes, windows
 from ordertide.schemas import COURIER_EVENTS, COURIER_FEED, ORDER_EVENTS, ORDER_FEED
 from ordertide.session import stream_session
 from ordertide.sources import kafka, readers, sinks
-from ordertide.streaming import fan_out
+from ordertide.streaming import fan_out, quarantine
 from ordertide.streaming.sinks import finish, start_parquet
 from ordertide.streaming.transitions import order_findings
 
@@ -178,3 +179,60 @@ def test_panes_add_up(spark, order_rows):
     for of_panes, of_events in ((panes.orders_hopping_kpi, windows.orders_hopping_kpi), (panes.anomaly_zones, windows.anomaly_zones)):
         expected = of_events(rows)
         assert sorted(map(repr, of_panes(merged).select(*expected.columns).collect())) == sorted(map(repr, expected.collect()))
+
+
+def test_read_rows_are_kept_or_quarantined_also_after_a_crash(spark, tmp_path, monkeypatch):
+    required, known = ("event_id", "order_id"), ("order_created", "order_delivered")
+    values = [
+        ("a", "o1", "order_created", 0, 1),
+        ("b", None, "order_created", 0, 15),  # not late by a second
+        ("c", "o1", "order_teleported", 0, 16),
+        (None, None, None, None, 3),
+        ("a", "o1", "order_created", 0, 1),  # a copy
+        ("d", "o2", "order_delivered", 9, 3),  # arrives before it happens
+    ]
+
+    def frame(rows):
+        full = [dict(event_id=i, order_id=o, event_type=k, event_time=t if t is None else at(t), ingestion_time=at(n)) for i, o, k, t, n in rows]
+        return spark.createDataFrame([tuple(r.get(name) for name in ORDER_EVENTS.names) for r in full], ORDER_EVENTS)
+
+    source, out, checkpoint = (f"{tmp_path}/{name}" for name in ("source", "out", "checkpoint"))
+    session = stream_session(spark, 2)
+
+    def run():
+        events = readers.stream_parquet(session, source, ORDER_EVENTS)
+        finish(quarantine.start_quarantine(events, out, checkpoint, required, known))
+
+    def counted():
+        rows = quarantine.counts(spark, out).groupBy("what").agg(F.sum("events").alias("n")).collect()
+        return {r.what: r.n for r in rows}
+
+    frame(values[:3]).write.mode("append").parquet(source)
+    run()
+    assert counted() == {"read": 3, "kept": 1, "quarantined": 2, "missing event_id": 0, "missing order_id": 1, "unknown event_type": 1, "late": 1}
+    frame(values[3:]).write.mode("append").parquet(source)
+    with monkeypatch.context() as patch:
+        patch.setattr(quarantine, "Observation", lambda: _Breaks())
+        with pytest.raises(Exception, match="before the counts"):
+            run()
+    run()
+    run()  # nothing new: nothing is added
+    assert counted() == {"read": 6, "kept": 3, "quarantined": 3, "missing event_id": 1, "missing order_id": 2, "unknown event_type": 1, "late": 1}
+    good, bad = (part(spark, out, ORDER_EVENTS) for part in (quarantine.kept, quarantine.quarantined))
+    assert good.columns == ORDER_EVENTS.names and sorted(r.event_id for r in good.collect()) == ["a", "a", "d"]
+    assert sorted((r.event_id or "", r.reasons) for r in bad.collect()) == [
+        ("", ["missing event_id", "missing order_id"]),
+        ("b", ["missing order_id"]),
+        ("c", ["late", "unknown event_type"]),
+    ]
+    plan = good._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(quarantined" in plan
+    assert quarantine.kept(spark, f"{tmp_path}/none", ORDER_EVENTS).count() == 0
+
+
+class _Breaks(Observation):
+    """An observation that fails after the events are written and before their counts are."""
+
+    @property
+    def get(self):
+        raise RuntimeError("before the counts")
