@@ -12,6 +12,8 @@ Defined cases: a row may break several rules and counts under each; a row withou
 late; equal rows are judged alike; a batch without rows has a row of zero counts.
 """
 
+from contextlib import contextmanager
+
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -22,6 +24,7 @@ from ordertide.sources.readers import read_parquet_prefix
 LATE, UNKNOWN = "late", "unknown event_type"
 #: Seconds after its event time at which an event counts as late.
 DELAY = 15 * 60
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 def rule_names(required):
@@ -37,6 +40,17 @@ def with_reasons(events, required, known_types, delay=DELAY):
     return events.withColumn("reasons", F.array_sort(F.array_compact(F.array(*broken))))
 
 
+@contextmanager
+def _unsorted(spark):
+    """Both parts of a task are written at once; without this a task sorts all of its rows by part in memory first."""
+    before = spark.conf.get(_WRITERS)
+    spark.conf.set(_WRITERS, "2")
+    try:
+        yield
+    finally:
+        spark.conf.set(_WRITERS, before)
+
+
 def batch_writer(output, required, known_types, delay=DELAY):
     """The function that writes one micro-batch and its counts."""
     names = rule_names(required)
@@ -46,7 +60,8 @@ def batch_writer(output, required, known_types, delay=DELAY):
         judged = with_reasons(rows, required, known_types, delay).withColumn("quarantined", F.size("reasons") > 0)
         metrics = [count_if(F.array_contains("reasons", rule)).alias(f"rule_{i}") for i, rule in enumerate(names)]
         judged = judged.observe(seen, F.count("*").alias("read"), count_if(F.col("quarantined")).alias("bad"), *metrics)
-        judged.write.mode("overwrite").partitionBy("quarantined").parquet(f"{output}/events/batch_id={batch_id}")
+        with _unsorted(spark):
+            judged.write.mode("overwrite").partitionBy("quarantined").parquet(f"{output}/events/batch_id={batch_id}")
         found = seen.get
         counts = [("read", found["read"]), ("kept", found["read"] - found["bad"]), ("quarantined", found["bad"])]
         counts += [(rule, found[f"rule_{i}"]) for i, rule in enumerate(names)]
