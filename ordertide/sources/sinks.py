@@ -56,12 +56,16 @@ def record_struct_column(record):
     return F.struct(*[name for name, _ in record])
 
 
-def write_ndjson(events, path, max_per_file=10000):
-    """JSON lines, at most so many per file; null fields are written out."""
+def write_ndjson(events, path, max_per_file=10000, compression="gzip"):
+    """JSON lines, at most so many per file; null fields are written out.
+
+    Lines repeat all names, so files are compressed (``none`` leaves them plain); readers tell by the file's name.
+    """
     (
         iso_times(with_epoch_ms(events))
         .write.option("maxRecordsPerFile", max_per_file)
         .option("ignoreNullFields", False)
+        .option("compression", compression)
         .mode("errorifexists")
         .json(path)
     )

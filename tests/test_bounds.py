@@ -5,7 +5,9 @@ import glob
 
 from pyspark.sql import DataFrameWriter
 
-from ordertide.schemas import ORDER_EVENTS
+from ordertide.schemas import ORDER_EVENTS, ORDER_WIRE
+from ordertide.session import run_folder
+from ordertide.sources import readers, sinks
 from ordertide.streaming import quarantine
 
 NOON = datetime.datetime(2024, 3, 1, 12)
@@ -37,3 +39,19 @@ def test_quarantine_parts_are_written_without_a_sort(spark, tmp_path, monkeypatc
     assert sorted(r.event_id for r in good.collect()) == sorted(2 * [r["event_id"] for r in rows if r["order_id"]])
     assert sorted(r.event_id for r in bad.collect()) == sorted(2 * [r["event_id"] for r in rows if not r["order_id"]])
     (broken,) = glob.glob(f"{tmp_path}/events/batch_id=0/quarantined=true/*.parquet")
+
+
+def test_json_lines_are_written_compressed(spark):
+    rows = [dict(event_id=f"E{k}", event_type="order_created", event_time=at(k), promo_applied="ñ\n" if k % 2 else None) for k in range(500)]
+    events, sizes, found = _orders(spark, rows), {}, {}
+    for kind in ("gzip", "none"):
+        path = run_folder(spark, "ndjson")
+        if kind == "none":
+            sinks.write_ndjson(events, path, 100, compression=kind)
+        else:
+            sinks.write_ndjson(events, path, 100)
+        files = glob.glob(f"{path.removeprefix('file:')}/part-*")
+        assert all(f.endswith(".json.gz" if kind == "gzip" else ".json") for f in files) and len(files) >= 5
+        sizes[kind] = sum(len(open(f, "rb").read()) for f in files)
+        found[kind] = sorted(map(repr, readers.read_ndjson(spark, path, ORDER_WIRE).collect()))
+    assert sizes["gzip"] * 5 < sizes["none"] and found["gzip"] == found["none"] and len(found["gzip"]) == 500
