@@ -17,6 +17,7 @@ types that are neither of orders nor assignments, are left out.
 
 from dataclasses import astuple, dataclass
 
+import pyarrow as pa
 from pyspark.sql import Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
@@ -45,7 +46,7 @@ def order_findings(events, minutes=15, quiet_minutes=240, keep_minutes=10_080, d
         F.col("order_id").isNotNull() & F.col("event_time").isNotNull() & event_is(*_TYPES)
     )
     if not events.isStreaming:
-        return _batch_findings(rows.distinct(), minutes, quiet_minutes, keep_minutes)
+        return _batch_findings(rows, minutes, quiet_minutes, keep_minutes)
     rows = watermarked(rows, delay).withColumn("us", F.unix_micros("event_time"))  # the other one has the watermark
     found = rows.groupBy("order_id").transformWithState(
         OrderStates(minutes, quiet_minutes, keep_minutes), _FOUND_SCHEMA, "append", "eventTime"
@@ -66,55 +67,84 @@ _FOUND_SCHEMA = """order_id string, kind string, at_us bigint, from_event string
     events bigint, illegal bigint"""
 
 
+def _without_copies(rows):
+    """The rows less the copies that come in one Arrow batch, so that a pile of copies is few rows before it is moved."""
+
+    def run(batches):
+        for batch in batches:
+            yield from pa.Table.from_batches([batch]).group_by(batch.schema.names).aggregate([]).to_batches()
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def _batch_findings(rows, minutes, quiet_minutes, keep_minutes):
-    rank = F.array_position(F.array(*map(F.lit, _TYPES)), F.col("event_type"))
-    rows = rows.withColumns({"us": F.unix_micros("event_time"), "rank": rank})
+    """One shuffle and one sort, by order and time, for all windows; what belongs to one life of an order is a running
+    value that the life's number guards."""
+    kinds = F.array(*map(F.lit, _TYPES))
+    rank = F.array_position(kinds, F.col("event_type")).cast("int")
+    rows = _without_copies(rows.select("order_id", F.unix_micros("event_time").alias("us"), rank.alias("rank")))
     by_order = Window.partitionBy("order_id").orderBy("us", "rank")
-    gap = F.col("us") - F.lag("us").over(by_order)
-    rows = rows.withColumn("anew", F.when(gap.isNull() | (gap > keep_minutes * _MINUTE_US), 1).otherwise(0))
-    rows = rows.withColumn("life", F.sum("anew").over(by_order))
-    in_life = Window.partitionBy("order_id", "life").orderBy("us", "rank")
-    before = in_life.rowsBetween(Window.unboundedPreceding, -1)
-    upto = in_life.rowsBetween(Window.unboundedPreceding, 0)
-    moves = event_is(*ORDER_EVENT_TYPES)
+    before = by_order.rowsBetween(Window.unboundedPreceding, -1)
+    upto = by_order.rowsBetween(Window.unboundedPreceding, 0)
+
+    def among(types):
+        return F.col("rank").isin([_TYPES.index(t) + 1 for t in types])
+
+    copied = (F.lag("us").over(by_order) == F.col("us")) & (F.lag("rank").over(by_order) == F.col("rank"))
+    rows = rows.withColumn("copied", F.coalesce(copied, F.lit(False))).filter("NOT copied").drop("copied")
+    after = F.lead("us").over(by_order) - F.col("us")
+    rows = rows.withColumns({"gap": F.col("us") - F.lag("us").over(by_order), "silence": after, "n": F.row_number().over(by_order)})
+    rows = rows.withColumn("anew", F.col("gap").isNull() | (F.col("gap") > keep_minutes * _MINUTE_US))
+    rows = rows.withColumns(
+        {
+            "life": F.sum(F.col("anew").cast("int")).over(upto),
+            "first_us": F.max(F.when(F.col("anew"), F.col("us"))).over(upto),
+            "first_n": F.max(F.when(F.col("anew"), F.col("n"))).over(upto),
+        }
+    )
+    moves = among(ORDER_EVENT_TYPES)
+
+    def earliest(types):  # of the last life that has any
+        return F.max(F.when(among(types), F.struct("life", (-F.col("us")).alias("back")))).over(upto)
+
+    moved = F.last(F.when(moves, F.struct("life", "rank")), ignorenulls=True).over(before)
+    rows = rows.withColumns({"moved": moved, "ready": earliest([_READY]), "taken": earliest(_TAKEN)})
+
+    def of_life(column, value):
+        return F.when(F.col(f"{column}.life") == F.col("life"), value)
+
     rows = rows.withColumns(
         {
-            "stage": F.last(F.when(moves, F.col("event_type")), ignorenulls=True).over(before),
-            "first_at": F.min("event_time").over(in_life.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-            "events": F.row_number().over(in_life).cast("bigint"),
-            "silence": F.lead("us").over(in_life) - F.col("us"),
-            "ready_us": F.min(F.when(event_is(_READY), F.col("us"))).over(upto),
+            "event": F.element_at(kinds, F.col("rank")),
+            "stage": of_life("moved", F.element_at(kinds, F.col("moved.rank"))),
+            "due": of_life("ready", -F.col("ready.back")) + minutes * _MINUTE_US,
+            "taken_us": of_life("taken", -F.col("taken.back")),
         }
     )
-    follows = F.concat_ws(">", F.coalesce("stage", F.lit("")), "event_type")
     legal = [f"{stage or ''}>{event}" for stage, after in TRANSITIONS.items() for event in after]
+    follows = F.concat_ws(">", F.coalesce("stage", F.lit("")), "event")
     rows = rows.withColumn("broken", F.when(moves & ~follows.isin(legal), 1).otherwise(0))
-    rows = rows.withColumn("illegal", F.sum("broken").over(upto))
-
-    def finding(found, kind, at, from_event="stage", event="event_type", *counts):
-        columns = [F.col(c) if c in counts else F.lit(None).cast("bigint").alias(c) for c in ("events", "illegal")]
-        return found.select(
-            "order_id",
-            F.lit(kind).alias("kind"),
-            F.timestamp_micros(at).alias("at"),
-            (F.col(from_event) if from_event else F.lit(None).cast("string")).alias("from_event"),
-            F.col(event).alias("event"),
-            "first_at",
-            *columns,
-        )
-
-    illegal = finding(rows.filter("broken = 1"), "illegal", F.col("us"))
-    quiet = rows.filter(F.col("silence").isNull() | (F.col("silence") > quiet_minutes * _MINUTE_US))
-    quiet = finding(quiet, "quiet", F.col("us") + quiet_minutes * _MINUTE_US, None, "event_type", "events", "illegal")
-    ready = rows.groupBy("order_id", "life").agg(
-        F.min("ready_us").alias("ready_us"),
-        F.min(F.when(event_is(*_TAKEN), F.col("us"))).alias("taken_us"),
-        F.min("first_at").alias("first_at"),
-        F.lit(_READY).alias("event_type"),
+    rows = rows.withColumn("all_broken", F.sum("broken").over(upto))
+    rows = rows.withColumn("old_broken", F.max(F.when(F.col("anew"), F.col("all_broken") - F.col("broken"))).over(upto))
+
+    no_text, no_count = F.lit(None).cast("string"), F.lit(None).cast("bigint")
+
+    def finding(found, kind, at, from_event, event, events=no_count, illegal=no_count):
+        values = {"kind": F.lit(kind), "at": F.timestamp_micros(at), "from_event": from_event, "event": event}
+        values |= {"first_at": F.timestamp_micros("first_us"), "events": events, "illegal": illegal}
+        return F.when(found, F.struct(*[value.alias(name) for name, value in values.items()]))
+
+    last = F.col("silence").isNull() | (F.col("silence") > keep_minutes * _MINUTE_US)
+    silent = last | (F.col("silence") > quiet_minutes * _MINUTE_US)
+    stuck = last & F.col("due").isNotNull() & (F.col("taken_us").isNull() | (F.col("taken_us") > F.col("due")))
+    events = (F.col("n") - F.col("first_n") + 1).cast("bigint")
+    illegal = F.col("all_broken") - F.col("old_broken")
+    found = F.array(
+        finding(F.col("broken") == 1, "illegal", F.col("us"), F.col("stage"), F.col("event")),
+        finding(silent, "quiet", F.col("us") + quiet_minutes * _MINUTE_US, no_text, F.col("event"), events, illegal),
+        finding(stuck, "stuck", F.col("due"), no_text, F.lit(_READY)),
     )
-    due = F.col("ready_us") + minutes * _MINUTE_US
-    stuck = ready.filter(F.col("ready_us").isNotNull() & (F.col("taken_us").isNull() | (F.col("taken_us") > due)))
-    return illegal.unionByName(quiet).unionByName(finding(stuck, "stuck", due, None))
+    return rows.select("order_id", F.inline(F.array_compact(found)))
 
 
 @dataclass

@@ -2,13 +2,16 @@
 
 import datetime
 import glob
+import random
 
 from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as F
 
 from ordertide.schemas import ORDER_EVENTS, ORDER_WIRE
 from ordertide.session import run_folder
 from ordertide.sources import readers, sinks
 from ordertide.streaming import quarantine
+from ordertide.streaming.transitions import _TYPES, OrderState, OrderStates, order_findings
 
 NOON = datetime.datetime(2024, 3, 1, 12)
 
@@ -55,3 +58,43 @@ def test_json_lines_are_written_compressed(spark):
         sizes[kind] = sum(len(open(f, "rb").read()) for f in files)
         found[kind] = sorted(map(repr, readers.read_ndjson(spark, path, ORDER_WIRE).collect()))
     assert sizes["gzip"] * 5 < sizes["none"] and found["gzip"] == found["none"] and len(found["gzip"]) == 500
+
+
+def _expected(events, minutes, quiet, keep):
+    """Findings of one order by the state machine alone: (kind, minute, from, event, first minute, events, illegal)."""
+    machine, state, out = OrderStates(minutes, quiet, keep), OrderState(), []
+    ahead = sorted(set(events), key=lambda e: (e[0], _TYPES.index(e[1])))
+    while True:
+        due, kind = machine._next(state, ahead[0] if ahead else None)
+        if due is None:
+            return out
+        if kind == "event":
+            machine._take(state, *ahead.pop(0), out)
+        elif kind == "forget":
+            state = OrderState()
+        elif kind == "stuck":
+            state.stuck_done = True
+            out.append(("stuck", due, None, "order_ready_for_pickup", state.first_us, None, None))
+        else:
+            state.quiet_done = True
+            out.append(("quiet", due, None, state.last_type, state.first_us, state.events, state.illegal))
+
+
+def test_batch_findings_need_one_shuffle_and_one_sort(spark):
+    dice = random.Random(5)
+    rows, want = [], []
+    for k in range(300):
+        events, minute = [], 0
+        for _ in range(dice.randrange(1, 12)):
+            minute += dice.choice([0, 0, 1, 4, 5, 6, 20, 21, 60, 61, 200])
+            events.append((minute * 60_000_000, dice.choice(_TYPES)))
+        copies = events * dice.choice([1, 1, 2, 40])
+        rows += [(f"O{k}", kind, at(us // 60_000_000)) for us, kind in copies]
+        want += [(f"O{k}", *f) for f in _expected(events, 5, 20, 60)]
+    events = spark.createDataFrame(rows, "order_id string, event_type string, event_time timestamp")
+    found = order_findings(events, 5, 20, 60)
+    base = int(events.where("event_time IS NOT NULL").select(F.unix_micros(F.lit(NOON))).first()[0])
+    rows = found.withColumns({"at": F.unix_micros("at") - base, "first_at": F.unix_micros("first_at") - base}).collect()
+    assert sorted(map(repr, map(tuple, rows))) == sorted(map(repr, want))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1 and "Aggregate" not in plan
