@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ordertide.llm.components import components
 from ordertide.llm.shared import saved
-from ordertide.llm.text import chunks, distinct, mix, shingles
+from ordertide.llm.text import chunks, distinct, mix, shingles, sort_each
 
 #: Fixed values of the contract: similarity of at least 80 / 100.
 NEED, OF = 80, 100
@@ -70,12 +70,19 @@ def least_overlap(n, m):
     return -(-NEED * (n + m) // (OF + NEED))
 
 
-def _sets(chunk):
-    """Distinct 63-bit shingle hashes of each document of a chunk, sorted: (hashes, documents)."""
+def _sets(chunk, below=None):
+    """Distinct 63-bit shingle hashes of each document of a chunk, sorted: (hashes, documents).
+
+    With ``below``, only the smaller ones.
+    """
     starts, ends, docs = chunk.words()
     words = chunk.hashes(starts, ends, chunk.prefix(fold=True))
     grams, owner = shingles(words, docs, chunk.n)
-    return distinct(grams >> np.uint64(1), owner)
+    grams >>= np.uint64(1)
+    if below is not None:
+        low = grams < below
+        grams, owner = grams[low], owner[low]
+    return distinct(grams, owner)
 
 
 def _bits(tokens, words):
@@ -123,8 +130,8 @@ def token_counts(docs):
     def run(batches):
         for batch in batches:
             for _, _, chunk in chunks(batch):
-                tokens, _ = _sets(chunk)
-                tokens, n = np.unique(tokens[tokens < _RANGE], return_counts=True)
+                tokens, _ = _sets(chunk, _RANGE)
+                tokens, n = np.unique(tokens, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(n)], ["token", "n"])
 
     counts = docs.select("text").mapInArrow(run, "token bigint, n bigint")
@@ -134,9 +141,8 @@ def token_counts(docs):
 def _ordered(chunk, frequent):
     """Shingles of each document in the global order: (hashes, order keys, documents)."""
     tokens, owner = _sets(chunk)
-    keys = np.where(_has(frequent, tokens), tokens | _FREQUENT_BIT, tokens)
-    order = np.lexsort((keys, owner))
-    return tokens[order], keys[order], owner[order]
+    keys = sort_each(np.where(_has(frequent, tokens), tokens | _FREQUENT_BIT, tokens), owner)
+    return keys & ~_FREQUENT_BIT, keys, owner
 
 
 def _binary(values, counts):
@@ -176,8 +182,8 @@ def light_rows(docs, frequent, shared):
                 tokens, keys, owner = _ordered(chunk, frequent.value)
                 n = np.bincount(owner, minlength=chunk.n)
                 first = np.concatenate(([0], np.cumsum(n)))
-                live = np.arange(len(owner)) - first[owner] < prefix_length(n)[owner]
-                live &= (tokens >= _RANGE) | _has(shared.value, tokens)
+                live = np.flatnonzero(np.arange(len(owner)) < (first[:-1] + prefix_length(n))[owner])
+                live = live[(tokens[live] >= _RANGE) | _has(shared.value, tokens[live])]
                 lists = np.concatenate(([0], np.cumsum(np.bincount(owner[live], minlength=chunk.n))))
                 sums = [_sums(tokens, n, salt) for salt in (3, 5)]
                 live = pa.array(tokens[live].view(np.int64))

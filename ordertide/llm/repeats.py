@@ -39,6 +39,8 @@ from ordertide.llm.text import chunks, mix
 #: Bytes of a string that must repeat, of an initial bucket, and of a step.
 LENGTH, GRAM, STEP = 200, 50, 25
 CORE = LENGTH - STEP + 1
+#: Bytes of texts that a task works on at once; its arrays hold some hundred bytes for each.
+CHUNK = 1 << 20
 #: 64-bit words of the filters over buckets and rows.
 BUCKET_WORDS, ROW_WORDS = 1 << 21, 1 << 19
 
@@ -67,13 +69,15 @@ def suffixes(chunk):
         return none, none, none, none, none.view(np.uint64), none.view(np.uint64)
     prefix = chunk.prefix()
     count = n - GRAM + 1
-    at = np.arange(count)
-    rank = _grams(chunk, prefix, at)
-    rank = (rank >> _PLACE_BITS << _PLACE_BITS) | at.astype(np.uint64)
+    rank = chunk.windows(GRAM, prefix)
+    rank >>= _PLACE_BITS
+    rank <<= _PLACE_BITS
+    rank |= np.arange(count, dtype=np.uint64)
     wide = -(-count // _OFFSETS) * _OFFSETS
     rank = np.append(rank, np.full(wide - count, ~np.uint64(0))).reshape(-1, _OFFSETS)
     ahead = np.minimum.accumulate(rank, axis=1).ravel()
     behind = np.minimum.accumulate(rank[:, ::-1], axis=1)[:, ::-1].ravel()
+    del rank
     starts = spread(chunk.offsets[:-1], room)
     chosen = np.minimum(behind[starts], ahead[starts + _OFFSETS - 1])
     chosen = (chosen & np.uint64((1 << 30) - 1)).astype(np.int64)
@@ -97,7 +101,7 @@ def bucket_sizes(rows):
 
     def run(batches):
         for batch in batches:
-            for _, _, chunk in chunks(batch):
+            for _, _, chunk in chunks(batch, most=CHUNK):
                 *_, bucket, whole = suffixes(chunk)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(bucket.view(np.int64)), pa.array(whole.view(np.int64))], ["bucket", "whole"]
@@ -114,7 +118,7 @@ def kept_suffixes(rows, bloom):
 
     def run(batches):
         for batch in batches:
-            for at, to, chunk in chunks(batch):
+            for at, to, chunk in chunks(batch, most=CHUNK):
                 doc, place, low, high, bucket, whole = suffixes(chunk)
                 keep = np.flatnonzero(_has(bloom.value, bucket))
                 doc = doc[keep]
@@ -139,7 +143,7 @@ def steps(texts):
 
     def run(batches):
         for batch in batches:
-            for a, b, chunk in chunks(batch):
+            for a, b, chunk in chunks(batch, most=CHUNK):
                 lists = batch.column(3).slice(a, b - a)
                 flat = lists.flatten()
                 bucket, place, low, high = (
@@ -235,7 +239,7 @@ def without_repeats(rows, keep_text):
 
     def run(batches):
         for batch in batches:
-            for at, to, chunk in chunks(batch):
+            for at, to, chunk in chunks(batch, most=CHUNK):
                 lists = batch.column(2).slice(at, to - at)
                 flat = lists.flatten()
                 doc = np.repeat(np.arange(chunk.n), np.diff(lists.offsets.to_numpy()))

@@ -25,11 +25,22 @@ def mix(h):
     return h ^ (h >> np.uint64(31))
 
 
+_KNOWN_POWERS = {}
+
+
 def powers(base, n):
-    """base**0 .. base**(n-1) modulo 2**64."""
-    out = np.full(max(n, 1), base, np.uint64)
+    """base**0 .. base**(n-1) modulo 2**64, not to be changed; those for a chunk are kept by the process."""
+    n = max(n, 1)
+    known = _KNOWN_POWERS.get(base)
+    if known is not None and len(known) >= n:
+        return known[:n]
+    out = np.full(n, base, np.uint64)
     out[0] = 1
-    return np.multiply.accumulate(out)
+    np.multiply.accumulate(out, out=out)
+    out.setflags(write=False)
+    if n <= CHUNK_BYTES + 1:
+        _KNOWN_POWERS[base] = out
+    return out
 
 
 def flat(column):
@@ -75,18 +86,29 @@ class Chunk:
         after = np.concatenate((self.solid, [False]))
         starts = np.flatnonzero(after & (~before | edge))
         ends = np.flatnonzero(before & (~after | edge))
-        return starts, ends, np.searchsorted(self.offsets, starts, "right") - 1
+        return starts, ends, np.repeat(np.arange(self.n), np.diff(np.searchsorted(starts, self.offsets)))
 
     def prefix(self, fold=False):
-        values = (FOLD[self.data] if fold else self.data).astype(np.uint64) + np.uint64(1)
+        out = np.zeros(len(self.data) + 1, np.uint64)
+        values = out[1:]
+        values[:] = FOLD[self.data] if fold else self.data
+        values += np.uint64(1)
         values *= powers(_BASE, len(values))[: len(values)]
-        return np.concatenate((np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)))
+        np.cumsum(values, out=values)
+        return out
 
     def hashes(self, starts, ends, prefix):
         """A 64-bit hash of each byte span."""
         down = powers(_BASE_INVERSE, len(self.data) + 1)[starts]
         return mix((prefix[ends] - prefix[starts]) * down + (ends - starts).astype(np.uint64))
 
+    def windows(self, size, prefix):
+        """``hashes`` of the ``size`` bytes from each position that has them."""
+        sums = prefix[size:] - prefix[:-size]
+        sums *= powers(_BASE_INVERSE, len(self.data) + 1)[: len(sums)]
+        sums += np.uint64(size)
+        return mix(sums)
+
 
 def shingles(words, docs, n_docs, size=SHINGLE):
     """Hashes of the ``size``-word windows and their documents.
@@ -105,10 +127,18 @@ def shingles(words, docs, n_docs, size=SHINGLE):
     return mix(acc[keep] + short[docs[keep]]), docs[keep]
 
 
+def sort_each(values, docs):
+    """The values of each document, which lie together, in ascending order."""
+    out = values.copy()
+    edges = [0, *(np.flatnonzero(np.diff(docs)) + 1).tolist(), len(out)]
+    for a, b in zip(edges, edges[1:]):
+        out[a:b].sort()
+    return out
+
+
 def distinct(hashes, docs):
-    """Sorted distinct hashes of each document: (hashes, documents)."""
-    order = np.lexsort((hashes, docs))
-    h, d = hashes[order], docs[order]
+    """Sorted distinct hashes of each document: (hashes, documents); a document's hashes lie together."""
+    h = sort_each(hashes, docs)
     new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
-    return h[new], d[new]
+    new[1:] = (h[1:] != h[:-1]) | (docs[1:] != docs[:-1])
+    return h[new], docs[new]
