@@ -97,6 +97,18 @@ def spread(starts, sizes):
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
+def distinct_names(values):
+    """``np.unique`` with the first place and the number of each value, sorting only the distinct ones."""
+    coded = pa.array(values).dictionary_encode()
+    names, inverse = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+    first = np.empty(len(names), np.int64)
+    first[inverse[::-1]] = np.arange(len(values) - 1, -1, -1)
+    order = np.argsort(names)
+    place = np.empty(len(names), np.int64)
+    place[order] = np.arange(len(names))
+    return names[order], first[order], place[inverse]
+
+
 class Codec:
     """Encoder and decoder of one task; remembers the pieces of segments seen before."""
 
@@ -175,7 +187,7 @@ class Codec:
         lengths = np.diff(starts, append=len(points))
         values = (points.astype(np.uint64) + np.uint64(1)) * powers(_BASE, len(points))
         sums = np.add.reduceat(values, starts) * powers(_BASE_INVERSE, len(points))[starts]
-        names, first, inverse = np.unique(mix(sums + lengths.astype(np.uint64)), return_index=True, return_inverse=True)
+        names, first, inverse = distinct_names(mix(sums + lengths.astype(np.uint64)))
         at = np.searchsorted(self.known, names)
         hit = np.zeros(len(names), bool)
         inside = at < len(self.known)
@@ -239,8 +251,9 @@ class Codec:
             gone[best + 1] = True
             fresh = best - np.cumsum(gone)[best]
             symbol, owner, rank, piece = symbol[~gone], owner[~gone], rank[~gone], piece[~gone]
-            touched = np.unique(np.concatenate((fresh - 1, fresh)))
-            touched = touched[touched >= 0]
+            near = np.zeros(len(symbol) + 1, bool)
+            near[fresh], near[fresh - 1] = True, True  # the one before the first is the spare last one
+            touched = np.flatnonzero(near[:-1])
             rank[touched], piece[touched] = _FAR, -1
             compute(touched, rank, piece)
         if len(symbol):

@@ -5,7 +5,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
-from ordertide.llm import ngram_join, repeats
+from ordertide.llm import ngram_join, repeats, sentencepiece_bpe
 from ordertide.llm.text import chunks, distinct, sort_each
 
 _DICE = np.random.default_rng(3)
@@ -25,6 +25,27 @@ def test_repeats_hold_few_bytes_for_each_chunk():
     assert most < 100e6  # 2 MB chunks held 163 MB
 
 
+def test_segments_are_named_without_sorting_them_all(monkeypatch):
+    values = _DICE.integers(0, 1 << 63, 500).astype(np.uint64)[_DICE.integers(0, 500, 20_000)] * np.uint64(2)
+    for some in (values, values[:1]):
+        want = np.unique(some, return_index=True, return_inverse=True)
+        got = sentencepiece_bpe.distinct_names(some)
+        assert all((a == b).all() for a, b in zip(got, want, strict=True))
+    words = ["bake", "cakes", "lake", "\u00f1", "x" * 90]
+    texts = [" ".join(words[i] for i in _DICE.integers(0, 5, 40)) for _ in range(300)] + ["", None]
+    codec = sentencepiece_bpe.Codec(sentencepiece_bpe.load(sentencepiece_bpe.model_path()))
+    sizes, unique = [], np.unique
+
+    def spy(x, *args, **kwargs):
+        sizes.append(len(x))
+        return unique(x, *args, **kwargs)
+
+    monkeypatch.setattr(np, "unique", spy)
+    ((_, _, chunk),) = chunks(_batch(texts))
+    _, counts = codec.encode(chunk)
+    assert len(counts) == 302 and counts[-1] == counts[-2] == 0 and max(sizes, default=0) < 100
+
+
 def test_each_document_is_sorted_for_itself():
     docs = np.repeat(np.arange(40), _DICE.integers(0, 30, 40))
     values = _DICE.integers(0, 20, len(docs)).astype(np.uint64)
