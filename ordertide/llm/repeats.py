@@ -40,7 +40,7 @@ from ordertide.llm.text import chunks, mix
 LENGTH, GRAM, STEP = 200, 50, 25
 CORE = LENGTH - STEP + 1
 #: Bytes of texts that a task works on at once; its arrays hold some hundred bytes for each.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 #: 64-bit words of the filters over buckets and rows.
 BUCKET_WORDS, ROW_WORDS = 1 << 21, 1 << 19
 

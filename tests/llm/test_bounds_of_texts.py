@@ -25,6 +25,16 @@ def test_repeats_hold_few_bytes_for_each_chunk():
     assert most < 100e6  # 2 MB chunks held 163 MB
 
 
+def test_repeats_hold_no_more_for_many_texts_than_for_few():
+    texts = [bytes(_DICE.integers(97, 123, 2000, dtype=np.uint8)).decode() for _ in range(2000)]
+    tracemalloc.start()
+    for _, _, chunk in chunks(_batch(texts), most=repeats.CHUNK):
+        repeats.suffixes(chunk)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 40e6  # 1 MB chunks held 68 MB
+
+
 def test_segments_are_named_without_sorting_them_all(monkeypatch):
     values = _DICE.integers(0, 1 << 63, 500).astype(np.uint64)[_DICE.integers(0, 500, 20_000)] * np.uint64(2)
     for some in (values, values[:1]):
