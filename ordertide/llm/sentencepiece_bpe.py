@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from ordertide.llm.text import chunks, mix, powers
 
-#: Bytes of text that are encoded at a time (or one document), and segments that a task remembers.
-CHUNK, REMEMBER = 2 << 20, 400_000
+#: Bytes of text that are encoded at a time (or one document), and segments that a process remembers (with 4 pieces for each).
+CHUNK, REMEMBER = 2 << 20, 1_000_000
 #: Rounds after which what is left of a segment is merged with a heap.
 ROUNDS = 48
 BLANK = 0x2581
@@ -73,7 +73,10 @@ def load(model):
         if sp.is_byte(i):
             byte = int(text[i][3:5], 16)
             byte_ids[byte], out[i] = i, bytes([byte])
+    with open(model, "rb") as file:
+        name = hashlib.sha256(file.read()).hexdigest()
     return {
+        "name": name,
         "size": size,
         "symbols": len(careful),
         "bos": sp.bos_id(),
@@ -109,8 +112,20 @@ def distinct_names(values):
     return names[order], first[order], place[inverse]
 
 
+_CODECS = {}
+
+
+def codec_of(tables):
+    """The process's codec of a model: tasks that share a worker merge a segment once. Only the last model's is kept."""
+    codec = _CODECS.get(tables["name"])
+    if codec is None:
+        _CODECS.clear()
+        codec = _CODECS[tables["name"]] = Codec(tables)
+    return codec
+
+
 class Codec:
-    """Encoder and decoder of one task; remembers the pieces of segments seen before."""
+    """Encoder and decoder; remembers the pieces of segments seen before."""
 
     def __init__(self, tables):
         self.t = tables
@@ -122,7 +137,9 @@ class Codec:
         self.joined[tables["neighbours"]] = True
         bits = int(len(tables["keys"]) * 4).bit_length()
         self._slots(bits)
-        self.forget()
+        self.known = np.zeros(0, np.uint64)
+        self.known_at, self.known_n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.again = np.zeros(0, np.int32), np.zeros(0, bool)
 
     def _slots(self, bits):
         """An open-addressed table of the merges: probing it beats a binary search."""
@@ -157,9 +174,21 @@ class Codec:
         return out
 
     def forget(self):
-        self.known = np.zeros(0, np.uint64)
-        self.known_at, self.known_n = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.int32)
+        """Segments that were not met again since the last time go, or all if that would be few."""
+        keep = np.flatnonzero(self.again)
+        if 2 * len(keep) > REMEMBER or self.known_n[keep].sum() > 2 * REMEMBER:
+            keep = keep[:0]
+        self.known, n = self.known[keep], self.known_n[keep]
+        self.ids = self.ids[spread(self.known_at[keep], n)]
+        self.known_at, self.known_n, self.again = np.cumsum(n) - n, n, np.zeros(len(keep), bool)
+
+    def _unknown(self, names):
+        at = np.searchsorted(self.known, names)
+        hit = np.zeros(len(names), bool)
+        inside = at < len(self.known)
+        hit[inside] = self.known[at[inside]] == names[inside]
+        self.again[at[hit]] = True
+        return np.flatnonzero(~hit)
 
     def encode(self, chunk):
         """All ids of a chunk's documents, without begin and end, and the number of each document."""
@@ -185,23 +214,22 @@ class Codec:
         new[(np.cumsum(sizes) - sizes)[full]] = True
         starts = np.flatnonzero(new)
         lengths = np.diff(starts, append=len(points))
-        values = (points.astype(np.uint64) + np.uint64(1)) * powers(_BASE, len(points))
+        values = points.astype(np.uint64)
+        values += np.uint64(1)
+        values *= powers(_BASE, len(points))
         sums = np.add.reduceat(values, starts) * powers(_BASE_INVERSE, len(points))[starts]
         names, first, inverse = distinct_names(mix(sums + lengths.astype(np.uint64)))
-        at = np.searchsorted(self.known, names)
-        hit = np.zeros(len(names), bool)
-        inside = at < len(self.known)
-        hit[inside] = self.known[at[inside]] == names[inside]
-        miss = np.flatnonzero(~hit)
+        miss = self._unknown(names)
         if len(miss):
-            if len(self.known) + len(miss) > REMEMBER:
+            if len(self.known) + len(miss) > REMEMBER or len(self.ids) > 4 * REMEMBER:
                 self.forget()
-                miss = np.arange(len(names))
+                miss = self._unknown(names)
             ids, counts = self.merge(points, char, starts[first[miss]], lengths[first[miss]])
             where = np.searchsorted(self.known, names[miss])
             self.known = np.insert(self.known, where, names[miss])
             self.known_at = np.insert(self.known_at, where, len(self.ids) + np.cumsum(counts) - counts)
             self.known_n = np.insert(self.known_n, where, counts)
+            self.again = np.insert(self.again, where, False)
             self.ids = np.concatenate((self.ids, ids))
         at = np.searchsorted(self.known, names)[inverse]
         n = self.known_n[at]
@@ -342,7 +370,7 @@ def encode_documents(docs, model, ends=True):
     tables = docs.sparkSession.sparkContext.broadcast(load(model))
 
     def run(batches):
-        codec = Codec(tables.value)
+        codec = codec_of(tables.value)
         for batch in batches:
             for at, to, chunk in chunks(batch, most=CHUNK):
                 ids, counts = codec.encode(chunk)
@@ -361,7 +389,7 @@ def decode_documents(encoded, model):
     tables = encoded.sparkSession.sparkContext.broadcast(load(model))
 
     def run(batches):
-        codec = Codec(tables.value)
+        codec = codec_of(tables.value)
         for batch in batches:
             rows = batch.column(1)
             counts = np.diff(rows.offsets.to_numpy())
@@ -377,7 +405,7 @@ def token_digests(docs, model):
     tables = docs.sparkSession.sparkContext.broadcast(load(model))
 
     def run(batches):
-        codec = Codec(tables.value)
+        codec = codec_of(tables.value)
         for batch in batches:
             for at, to, chunk in chunks(batch, most=CHUNK):
                 ids, counts = with_ends(*codec.encode(chunk), codec.t["bos"], codec.t["eos"])

@@ -4,6 +4,8 @@ A chunk is a run of whole documents. Words are maximal runs of bytes outside
 ``\\x20 \\x09-\\x0D``; hashes are polynomials over the bytes modulo 2**64, mixed.
 """
 
+from functools import cached_property
+
 import numpy as np
 import pyarrow as pa
 
@@ -68,7 +70,10 @@ def chunks(batch, column="text", most=CHUNK_BYTES):
 class Chunk:
     def __init__(self, data, offsets):
         self.data, self.offsets, self.n = data, offsets, len(offsets) - 1
-        self.solid = ~SPACE[data]
+
+    @cached_property
+    def solid(self):
+        return ~SPACE[self.data]
 
     def per_doc(self, flags):
         """How many flags are set in each document; flags are by byte."""

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from ordertide.llm.sentencepiece_bpe import CHUNK, Codec, load, model_path, spread, with_ends
+from ordertide.llm.sentencepiece_bpe import CHUNK, codec_of, load, model_path, spread, with_ends
 from ordertide.llm.shared import saved
 from ordertide.llm.text import chunks, mix
 from ordertide.session import run_folder
@@ -71,7 +71,7 @@ def count_sequences(docs, tables):
     the partition up to the end of the row's chunk) of every row."""
 
     def run(batches):
-        codec, done, part, order = Codec(tables.value), 0, TaskContext.get().partitionId(), Order()
+        codec, done, part, order = codec_of(tables.value), 0, TaskContext.get().partitionId(), Order()
         for batch in batches:
             for at, to, chunk in chunks(batch, most=CHUNK):
                 counts = codec.encode(chunk)[1] + 2
@@ -94,7 +94,7 @@ def records(docs, tables, bases, total):
 
     def run(batches):
         base, own, seen = bases.value.get(TaskContext.get().partitionId(), (0, 0, 0))
-        codec, done, order = Codec(tables.value), 0, Order()
+        codec, done, order = codec_of(tables.value), 0, Order()
         for batch in batches:
             for at, to, chunk in chunks(batch, most=CHUNK):
                 order.add(batch.column(0).slice(at, to - at), chunk)

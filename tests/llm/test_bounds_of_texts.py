@@ -74,3 +74,47 @@ def test_shingles_below_a_bound_are_those_of_all():
     low = tokens < ngram_join._RANGE
     few = ngram_join._sets(one, ngram_join._RANGE)
     assert few[0].tolist() == tokens[low].tolist() and few[1].tolist() == owner[low].tolist()
+
+
+def test_tasks_of_a_process_merge_a_segment_once(monkeypatch):
+    tables, merged, merge = sentencepiece_bpe.load(sentencepiece_bpe.model_path()), [], sentencepiece_bpe.Codec.merge
+    monkeypatch.setattr(sentencepiece_bpe, "_CODECS", {})
+
+    def spy(self, points, char, starts, lengths):
+        merged.append(len(starts))
+        return merge(self, points, char, starts, lengths)
+
+    monkeypatch.setattr(sentencepiece_bpe.Codec, "merge", spy)
+    ((_, _, chunk),) = chunks(_batch(["bake a cake", None, "a cake by the lake \u00f1", ""]))
+    want = [x.tolist() for x in sentencepiece_bpe.Codec(tables).encode(chunk)]
+    alone = merged.pop()
+    for _ in range(3):  # every task has its own copy of the tables
+        assert [x.tolist() for x in sentencepiece_bpe.codec_of(dict(tables)).encode(chunk)] == want
+    assert merged == [alone]
+    other = sentencepiece_bpe.codec_of(tables | {"name": "another model"})
+    assert len(other.known) == 0 and list(sentencepiece_bpe._CODECS) == ["another model"]
+
+
+def test_segments_met_again_are_remembered_when_others_go(monkeypatch):
+    monkeypatch.setattr(sentencepiece_bpe, "REMEMBER", 40)
+    tables, merged, merge = sentencepiece_bpe.load(sentencepiece_bpe.model_path()), [], sentencepiece_bpe.Codec.merge
+
+    def spy(self, points, char, starts, lengths):
+        merged.append(len(starts))
+        return merge(self, points, char, starts, lengths)
+
+    codec = sentencepiece_bpe.Codec(tables)
+    texts = [" ".join(["bake", "cake", "lake", *(f"w{k}x{j}" for j in range(k % 7 * 4))]) for k in range(40)]
+    for text in [*texts, "x" * 3000, " ".join("abcdefghijklmnopqrstuvwxyz" * 3), *texts]:
+        ((_, _, chunk),) = chunks(_batch([text, None, text]))
+        want = [x.tolist() for x in sentencepiece_bpe.Codec(tables).encode(chunk)]
+        monkeypatch.setattr(sentencepiece_bpe.Codec, "merge", spy)
+        assert [x.tolist() for x in codec.encode(chunk)] == want
+        monkeypatch.setattr(sentencepiece_bpe.Codec, "merge", merge)
+        assert len(codec.known) == len(codec.known_at) == len(codec.again) <= 80 and codec.known_n.sum() == len(codec.ids)
+    codec.forget()
+    ((_, _, chunk),) = chunks(_batch(["lake bake", "cake"]))
+    monkeypatch.setattr(sentencepiece_bpe.Codec, "merge", spy)
+    before = len(merged)
+    codec.encode(chunk)
+    assert len(codec.known) >= 3 and len(merged) == before
