@@ -1,9 +1,9 @@
 """One query per topic that feeds every output from a single decode.
 
-A micro-batch of a topic is decoded once, kept, and written to several tables: an archive of all its
-rows and one table of mergeable panes for each KPI. Every table has a folder for each batch id that is
-overwritten as a whole, so a batch that is run again after a crash, wherever between two tables
-it came, replaces what it wrote and adds nothing.
+A micro-batch of a topic is decoded once and written to an archive of all its rows. Of that the columns
+needed are read again for one table of mergeable panes for each KPI. Every table has a folder for each
+batch id that is overwritten as a whole, so a batch that is run again after a crash, wherever between two
+tables it came, replaces what it wrote and adds nothing.
 
 Panes count an event id once, however late a copy comes: ids that the archive holds from earlier batches are
 left out by an anti-join, which opens only the dates and row groups of the batch's own event times.
@@ -28,8 +28,14 @@ PANES = {
     ORDER_FEED: {"panes_orders": panes.order_panes, "panes_waiting": panes.waiting_panes},
     COURIER_FEED: {"panes_dispatch": panes.dispatch_panes},
 }
+#: What the functions of these tables read of an event.
+READ = {
+    ORDER_FEED: ["event_id", "event_time", "event_type", "user_zone_id", "restaurant_zone_id", "actual_delivery_time", "anomaly_flag"],
+    COURIER_FEED: ["event_id", "event_time", "event_type", "courier_zone_id"],
+}
 #: Columns that folders add to an archive's rows.
 _PLACE = "batch_id bigint, event_date date"
+_DATE = StructField("event_date", DateType())
 #: Archive of each feed.
 ARCHIVES = {ORDER_FEED: "orders", COURIER_FEED: "couriers"}
 
@@ -52,23 +58,22 @@ def unseen(rows, archive, batch_id):
 
 
 def batch_writer(feed, output, tables=None):
-    """The function that writes one micro-batch of decoded events of a feed."""
+    """The function that writes one micro-batch of decoded events of a feed; own ``tables`` may read all columns."""
+    read = READ[feed] if tables is None else [f.name for f in FEEDS[feed][1].fields]
     tables = PANES[feed] if tables is None else tables
     archive = ARCHIVES[feed]
 
     def write(rows, batch_id):
-        rows.persist()
+        folder = _folder(output, archive, batch_id)
+        dated = rows.withColumn("event_date", day_of("event_time"))
+        dated.write.mode("overwrite").partitionBy("event_date").parquet(folder)
+        kept = read_parquet_prefix(rows.sparkSession, folder, StructType([*rows.schema.fields, _DATE])).select(*read)
+        fresh = unseen(kept, f"{output}/{archive}", batch_id).persist()
         try:
-            dated = rows.withColumn("event_date", day_of("event_time"))
-            dated.write.mode("overwrite").partitionBy("event_date").parquet(_folder(output, archive, batch_id))
-            fresh = unseen(rows, f"{output}/{archive}", batch_id).persist()
-            try:
-                for name, build in tables.items():
-                    build(fresh).write.mode("overwrite").parquet(_folder(output, name, batch_id))
-            finally:
-                fresh.unpersist()
+            for name, build in tables.items():
+                build(fresh).write.mode("overwrite").parquet(_folder(output, name, batch_id))
         finally:
-            rows.unpersist()
+            fresh.unpersist()
 
     return write
 
@@ -81,7 +86,7 @@ def start_fan_out(topic, feed, output, checkpoint, interval=None, tables=None):
 
 
 def _archive(spark, output, feed):
-    place = [StructField("batch_id", LongType()), StructField("event_date", DateType())]
+    place = [StructField("batch_id", LongType()), _DATE]
     schema = StructType([*FEEDS[feed][1].fields, *place])
     return read_parquet_prefix(spark, f"{output}/{ARCHIVES[feed]}", schema).drop("batch_id")
 

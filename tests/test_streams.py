@@ -2,14 +2,15 @@
 
 import datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ordertide.operators import panes, windows
-from ordertide.schemas import COURIER_EVENTS, COURIER_FEED, ORDER_EVENTS, ORDER_FEED
+from ordertide.schemas import COURIER_EVENTS, COURIER_FEED, ORDER_EVENTS, ORDER_FEED, ORDER_RECORD
 from ordertide.session import stream_session
-from ordertide.sources import kafka, readers, sinks
+from ordertide.sources import avro_wire, kafka, readers, sinks
 from ordertide.streaming import fan_out, quarantine
 from ordertide.streaming.sinks import finish, start_parquet
 from ordertide.streaming.transitions import order_findings
@@ -164,6 +165,36 @@ def test_fan_out_reads_once_and_survives_crashes(spark, tmp_path, order_rows):
     _assert_outputs(spark, tmp_path, first + second)
 
 
+def test_fan_out_keeps_a_batch_in_its_archive_alone(spark, tmp_path, order_rows, monkeypatch):
+    seen, unseen = [], fan_out.unseen
+    rows = _orders(spark, order_rows[0])
+
+    def spy(kept, archive, batch_id):
+        seen.append((rows.is_cached, kept.columns, kept._jdf.queryExecution().executedPlan().toString()))
+        return unseen(kept, archive, batch_id)
+
+    monkeypatch.setattr(fan_out, "unseen", spy)
+    fan_out.batch_writer(ORDER_FEED, f"{tmp_path}/out")(rows, 0)
+    _assert_outputs(spark, tmp_path, order_rows[0])
+    own = []
+    fan_out.batch_writer(ORDER_FEED, f"{tmp_path}/own", {"own": lambda fresh: own.append(fresh.columns) or fresh})(rows, 0)
+    (cached, columns, plan), (_, every, _) = seen
+    assert not cached and columns == fan_out.READ[ORDER_FEED] and "parquet" in plan and "courier_id" not in plan
+    assert every == ORDER_EVENTS.names and sorted(own[0]) == sorted(every)
+    fan_out.batch_writer(ORDER_FEED, f"{tmp_path}/none")(rows.limit(0), 0)
+    assert fan_out.outputs(spark, f"{tmp_path}/none")["orders"].count() == 0
+
+
+def test_payloads_that_are_all_json_cost_the_avro_decoder_nothing(monkeypatch):
+    sizes, cursor = [], avro_wire._Cursor
+    monkeypatch.setattr(avro_wire, "_Cursor", lambda payloads: sizes.append(len(payloads)) or cursor(payloads))
+    missing = pa.array([None] * 5000, pa.binary())
+    got, mixed = (avro_wire.decode_batch(payloads, ORDER_RECORD) for payloads in (missing, pa.array([None, b"?"], pa.binary())))
+    assert sizes == [0, 2] and got.type == mixed.type and len(got) == 5000 and got.null_count == mixed.null_count == 0
+    assert all(got.field(name).null_count == 5000 for name, _ in ORDER_RECORD)
+    assert len(avro_wire.decode_batch(missing.slice(0, 0), ORDER_RECORD)) == 0
+
+
 def test_fan_out_without_events(spark, tmp_path):
     assert {name: df.count() for name, df in fan_out.outputs(spark, str(tmp_path)).items()} == dict.fromkeys(
         ["orders", "couriers", "kpi_orders_5min_tumbling", "kpi_orders_10min_hop5", "kpi_zone_health", "kpi_anomaly_zones"], 0
