@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ordertide.llm.ngram_join import _binary, _has, bloom_of
 from ordertide.llm.sentencepiece_bpe import spread
-from ordertide.llm.shared import saved
+from ordertide.llm.shared import saved, small_batches
 from ordertide.llm.text import chunks, mix
 
 #: Bytes of a string that must repeat, of an initial bucket, and of a step.
@@ -193,7 +193,7 @@ def repeated_spans(rows):
 
     unlike = alike.where("mixed").select("row", F.struct("bucket", "place", "low", "high").alias("s"))
     unlike = saved(unlike.groupBy("row").agg(F.collect_list("s").alias("at")), "to-refine")
-    texts = _texts_of(rows, unlike).join(unlike, "row")
+    texts = _texts_of(rows, _row_filter(unlike)).join(unlike, "row")
     refined = saved(steps(texts), "refined")
     open_keys = refined.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
     refined = refined.join(open_keys, "key")
@@ -215,27 +215,52 @@ def repeated_spans(rows):
     )
 
 
-def _texts_of(rows, wanted, others=False):
-    """The rows whose key may be in ``wanted`` (column row); with ``others``, those that are surely not."""
+def _row_filter(wanted):
+    """A filter over the keys in ``wanted`` (column row), for all tasks."""
     names = wanted.select(F.col("row").alias("token"))
-    bloom = rows.sparkSession.sparkContext.broadcast(bloom_of(names, ROW_WORDS))
+    return wanted.sparkSession.sparkContext.broadcast(bloom_of(names, ROW_WORDS))
+
+
+def _texts_of(rows, bloom):
+    """The rows whose key may be in the filter."""
 
     def run(batches):
         for batch in batches:
             hit = _has(bloom.value, batch.column(0).to_numpy().view(np.uint64))
-            yield batch.filter(pa.array(hit != others))
+            yield batch.filter(pa.array(hit))
 
     return rows.mapInArrow(run, rows.schema)
 
 
+def _cut(chunk, ids, doc, a, b, keep_text):
+    """One batch of results: the texts of the chunk without the bytes from ``a`` to ``b`` of each ``doc``."""
+    edge = np.zeros(len(chunk.data) + 1, np.int64)
+    np.add.at(edge, chunk.offsets[doc] + a, 1)
+    np.add.at(edge, chunk.offsets[doc] + b, -1)
+    gone = np.cumsum(edge)[:-1] > 0
+    n_gone = chunk.per_doc(gone)
+    begins = gone & ~np.concatenate(([False], gone[:-1])) if len(gone) else gone
+    heads = chunk.offsets[:-1][np.diff(chunk.offsets) > 0]
+    begins[heads] = gone[heads]
+    n_spans = chunk.per_doc(begins)
+    kept = chunk.data[~gone].tobytes()
+    ends = np.concatenate(([0], np.cumsum(np.diff(chunk.offsets) - n_gone)))
+    kept = [kept[a:b] for a, b in zip(ends, ends[1:])]
+    if not keep_text:
+        kept = [hashlib.sha256(k).hexdigest() for k in kept]
+    columns = [ids, pa.array(np.diff(chunk.offsets)), pa.array(n_gone), pa.array(n_spans)]
+    columns.append(pa.array(kept, pa.binary() if keep_text else pa.string()))
+    return pa.RecordBatch.from_arrays(columns, ["id", "n_bytes", "n_removed", "n_spans", "kept"])
+
+
 def without_repeats(rows, keep_text):
     """id, n_bytes, n_removed, n_spans and the remaining bytes (or their sha256) of every row."""
     # rows of one key have the same text, so their spans are the same set
     spans = repeated_spans(rows).groupBy("row").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
     spans = saved(spans, "spans")
+    bloom = _row_filter(spans)
     none = F.array().cast("array<struct<a:int,b:int>>")
-    plain = _texts_of(rows, spans, others=True).select("id", "text", none.alias("spans"))
-    cut = _texts_of(rows, spans).join(spans, "row", "left").select("id", "text", F.coalesce("spans", none).alias("spans"))
+    cut = _texts_of(rows, bloom).join(spans, "row", "left").select("id", "text", F.coalesce("spans", none).alias("spans"))
 
     def run(batches):
         for batch in batches:
@@ -243,33 +268,31 @@ def without_repeats(rows, keep_text):
                 lists = batch.column(2).slice(at, to - at)
                 flat = lists.flatten()
                 doc = np.repeat(np.arange(chunk.n), np.diff(lists.offsets.to_numpy()))
-                edge = np.zeros(len(chunk.data) + 1, np.int64)
-                for name, sign in (("a", 1), ("b", -1)):
-                    np.add.at(edge, chunk.offsets[doc] + flat.field(name).to_numpy(zero_copy_only=False), sign)
-                gone = np.cumsum(edge)[:-1] > 0
-                n_gone = chunk.per_doc(gone)
-                begins = gone & ~np.concatenate(([False], gone[:-1])) if len(gone) else gone
-                heads = chunk.offsets[:-1][np.diff(chunk.offsets) > 0]
-                begins[heads] = gone[heads]
-                n_spans = chunk.per_doc(begins)
-                kept = chunk.data[~gone].tobytes()
-                ends = np.concatenate(([0], np.cumsum(np.diff(chunk.offsets) - n_gone)))
-                kept = [kept[a:b] for a, b in zip(ends, ends[1:])]
-                if not keep_text:
-                    kept = [hashlib.sha256(k).hexdigest() for k in kept]
-                columns = [batch.column(0).slice(at, to - at), pa.array(np.diff(chunk.offsets)), pa.array(n_gone)]
-                columns += [pa.array(n_spans), pa.array(kept, pa.binary() if keep_text else pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "n_bytes", "n_removed", "n_spans", "kept"])
+                a, b = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("a", "b"))
+                yield _cut(chunk, batch.column(0).slice(at, to - at), doc, a, b, keep_text)
+
+    def run_plain(batches):
+        """The texts that are surely without spans, in the pass that picks them."""
+        nothing = np.zeros(0, np.int64)
+        for batch in batches:
+            batch = batch.filter(pa.array(~_has(bloom.value, batch.column(0).to_numpy().view(np.uint64))))
+            for at, to, chunk in chunks(batch, most=CHUNK):
+                yield _cut(chunk, batch.column(1).slice(at, to - at), nothing, nothing, nothing, keep_text)
 
     schema = f"id {dict(rows.dtypes)['id']}, n_bytes bigint, n_removed bigint, n_spans bigint, kept "
-    return plain.unionByName(cut).mapInArrow(run, schema + ("binary" if keep_text else "string"))
+    schema += "binary" if keep_text else "string"
+    return rows.mapInArrow(run_plain, schema).unionByName(cut.mapInArrow(run, schema))
 
 
 def remove_repeats(docs):
     """doc_id, n_bytes, n_removed, n_spans and ``kept``, the remaining bytes (they may cut a character)."""
-    return without_repeats(_keyed(docs), True).withColumnRenamed("id", "doc_id")
+    with small_batches(docs.sparkSession):
+        found = without_repeats(_keyed(docs), True)
+    return found.withColumnRenamed("id", "doc_id")
 
 
 def repeats_query(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return without_repeats(_keyed(docs), False).withColumnsRenamed({"id": "doc_id", "kept": "kept_sha256"})
+    with small_batches(spark):
+        found = saved(without_repeats(_keyed(docs), False), "digests")  # one short row for each text
+    return found.withColumnsRenamed({"id": "doc_id", "kept": "kept_sha256"})

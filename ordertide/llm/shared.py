@@ -1,9 +1,27 @@
 """Tables shared by executors, and the session's shared folder."""
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from ordertide.session import run_folder
 
+#: Rows that go to Python and back at once, where rows hold whole texts.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark):
+    """What runs meanwhile moves ``BATCH_ROWS`` rows at once at most; Spark's own 10,000 texts are copied on each side of
+    the pipe of every task."""
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
+
 
 def saved(df, name):
     """The rows written as Parquet under the shared folder and read again, which cuts the lineage."""

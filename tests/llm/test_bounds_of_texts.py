@@ -4,6 +4,7 @@ import tracemalloc
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrameWriter
 
 from ordertide.llm import ngram_join, repeats, sentencepiece_bpe
 from ordertide.llm.text import chunks, distinct, sort_each
@@ -35,6 +36,32 @@ def test_repeats_hold_no_more_for_many_texts_than_for_few():
     assert most < 40e6  # 1 MB chunks held 68 MB
 
 
+def test_repeats_move_few_texts_at_once_and_plain_ones_once(spark, tmp_path, monkeypatch):
+    same = "".join(chr(97 + i * i % 23) + str(i) for i in range(150))
+    rows = [(1, same), (2, f"{same} and more"), (3, "plain"), (4, None), (4, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    name, seen, plans, parquet = "spark.sql.execution.arrow.maxRecordsPerBatch", [], [], DataFrameWriter.parquet
+
+    def spy(self, path, *args, **kwargs):
+        seen.append(int(spark.conf.get(name)))
+        return parquet(self, path, *args, **kwargs)
+
+    def kept(df, what, keep=repeats.saved):
+        if what == "digests":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df, what)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", spy)
+    monkeypatch.setattr(repeats, "saved", kept)
+    before = spark.conf.get(name)
+    got = sorted(tuple(r)[:4] for r in repeats.repeats_query(spark, str(tmp_path)).collect())
+    n = len(same)
+    assert got == [(1, n, n, 1), (2, n + 9, n, 1), (3, 5, 0, 0), (4, 0, 0, 0), (4, 0, 0, 0)]
+    assert max(seen) <= 1000 < int(before) and spark.conf.get(name) == before
+    # the filter and the cut of texts with spans, and one pass for the others
+    assert len(plans) == 1 and plans[0].count("MapInArrow") == 3
+
+
 def test_segments_are_named_without_sorting_them_all(monkeypatch):
     values = _DICE.integers(0, 1 << 63, 500).astype(np.uint64)[_DICE.integers(0, 500, 20_000)] * np.uint64(2)
     for some in (values, values[:1]):
