@@ -27,6 +27,7 @@ from ordertide.sources import decode, kafka, readers, reference, sinks
 from ordertide.sources.decode import FEEDS
 from ordertide.streaming import dedup, fan_out, joins, lifecycle, quarantine, sessions
 from ordertide.streaming.arrival import out_of_order_stream
+from ordertide.streaming.buckets import BUCKETS
 from ordertide.streaming.pipeline import kpi_streams, start_all
 from ordertide.streaming.sinks import finish
 from ordertide.streaming.transitions import order_findings
@@ -876,7 +877,7 @@ def _(t):
 @query("lifecycle_transitions_stream")
 def _(t):
     replay = t.hard_replay()
-    found = replay.result(order_findings(_both_streams(replay)))
+    found = replay.result(order_findings(_both_streams(replay), buckets=BUCKETS))
     return found.filter(~F.col("order_id").startswith("CLOSING"))
 
 

@@ -15,7 +15,8 @@ does not matter; deadlines are event-time timers. Rows without order, time or ty
 types that are neither of orders nor assignments, are left out.
 """
 
-from dataclasses import astuple, dataclass
+from dataclasses import dataclass, fields
+from operator import attrgetter
 
 import pyarrow as pa
 from pyspark.sql import Row, Window
@@ -25,6 +26,7 @@ from pyspark.sql.streaming import StatefulProcessor
 from ordertide.constants import ALL_CANCEL_TYPES, ORDER_EVENT_TYPES, TRANSITIONS
 from ordertide.functions.columns import event_is
 from ordertide.operators.windows import watermarked
+from ordertide.streaming.buckets import PACKED, Waker, bucket_of, framed, pack, unpack, within_pandas
 
 _TAKEN = ["courier_assigned_order", "order_delivered", *ALL_CANCEL_TYPES]
 _READY = "order_ready_for_pickup"
@@ -38,8 +40,11 @@ _STATE = """first_us bigint, last_us bigint, last_type string, stage string, rea
     events bigint, illegal bigint, stuck_done boolean, quiet_done boolean"""
 
 
-def order_findings(events, minutes=15, quiet_minutes=240, keep_minutes=10_080, delay="15 minutes"):
-    """The findings of all orders of a batch or streaming feed (FINDING)."""
+def order_findings(events, minutes=15, quiet_minutes=240, keep_minutes=10_080, delay="15 minutes", buckets=None):
+    """The findings of all orders of a batch or streaming feed (FINDING).
+
+    With a number of ``buckets`` the orders of a bucket share one state of a stream.
+    """
     if not minutes <= quiet_minutes <= keep_minutes:
         raise ValueError("an order is stuck before it is quiet, and quiet before it is forgotten")
     rows = events.select("order_id", "event_type", "event_time").filter(
@@ -47,10 +52,20 @@ def order_findings(events, minutes=15, quiet_minutes=240, keep_minutes=10_080, d
     )
     if not events.isStreaming:
         return _batch_findings(rows, minutes, quiet_minutes, keep_minutes)
-    rows = watermarked(rows, delay).withColumn("us", F.unix_micros("event_time"))  # the other one has the watermark
-    found = rows.groupBy("order_id").transformWithState(
-        OrderStates(minutes, quiet_minutes, keep_minutes), _FOUND_SCHEMA, "append", "eventTime"
-    )
+    limits = (minutes, quiet_minutes, keep_minutes)
+    if buckets:
+        rows = rows.withColumns({"bucket": bucket_of("order_id", buckets), "rank": _rank(), "us": F.unix_micros("event_time")})
+        if delay:
+            rows = rows.withColumn("event_time", within_pandas(F.col("event_time")))
+        rows = watermarked(rows.drop("event_type"), delay)
+        found = rows.groupBy("bucket").transformWithStateInPandas(
+            ManyOrderStates(*limits), _FOUND_SCHEMA, "append", "eventTime"
+        )
+    else:
+        rows = watermarked(rows, delay).withColumn("us", F.unix_micros("event_time"))  # the other one has the watermark
+        found = rows.groupBy("order_id").transformWithState(
+            OrderStates(*limits), _FOUND_SCHEMA, "append", "eventTime"
+        )
     return found.select(
         "order_id",
         "kind",
@@ -67,6 +82,11 @@ _FOUND_SCHEMA = """order_id string, kind string, at_us bigint, from_event string
     events bigint, illegal bigint"""
 
 
+def _rank():
+    """The place of an event's type in ``_TYPES``, from 1."""
+    return F.array_position(F.array(*map(F.lit, _TYPES)), F.col("event_type")).cast("int")
+
+
 def _without_copies(rows):
     """The rows less the copies that come in one Arrow batch, so that a pile of copies is few rows before it is moved."""
 
@@ -81,8 +101,7 @@ def _batch_findings(rows, minutes, quiet_minutes, keep_minutes):
     """One shuffle and one sort, by order and time, for all windows; what belongs to one life of an order is a running
     value that the life's number guards."""
     kinds = F.array(*map(F.lit, _TYPES))
-    rank = F.array_position(kinds, F.col("event_type")).cast("int")
-    rows = _without_copies(rows.select("order_id", F.unix_micros("event_time").alias("us"), rank.alias("rank")))
+    rows = _without_copies(rows.select("order_id", F.unix_micros("event_time").alias("us"), _rank().alias("rank")))
     by_order = Window.partitionBy("order_id").orderBy("us", "rank")
     before = by_order.rowsBetween(Window.unboundedPreceding, -1)
     upto = by_order.rowsBetween(Window.unboundedPreceding, 0)
@@ -163,6 +182,15 @@ class OrderState:
     quiet_done: bool = False
 
 
+_values = attrgetter(*(field.name for field in fields(OrderState)))
+_FOUND_NAMES = ("order_id", "kind", "at_us", "from_event", "event", "first_us", "events", "illegal")
+_ARROW = {"string": pa.string(), "bigint": pa.int64(), "boolean": pa.bool_()}
+#: Names and types of the state of each order, for ``buckets.states``.
+ORDERS = f"order_id string, {' '.join(_STATE.split())}"
+_ORDERS = pa.schema([(name, _ARROW[kind]) for name, kind in map(str.split, ORDERS.split(", "))])
+_AHEAD = pa.schema([("order_id", pa.string()), ("us", pa.int64()), ("rank", pa.int32())])
+
+
 class OrderStates(StatefulProcessor):
     """Keeps an ``OrderState`` and the events ahead of the watermark for each order."""
 
@@ -185,11 +213,24 @@ class OrderStates(StatefulProcessor):
         until = timerValues.getCurrentWatermarkInMs() * 1000
         state = OrderState(*self.order.get()) if self.order.exists() else OrderState()
         ahead = sorted(set(map(tuple, self.ahead.get())), key=lambda e: (e[0], _TYPES.index(e[1])))
+        state, left, due, out = self._advance(key[0], state, ahead, until)
+        if len(left) < len(ahead):
+            self.ahead.put(left) if left else self.ahead.clear()
+        if state.events:
+            self.order.update(_values(state))
+        elif self.order.exists():
+            self.order.clear()
+        if due is not None:
+            self._wake(due)
+        return iter([Row(**dict(zip(_FOUND_NAMES, found, strict=True))) for found in out])
+
+    def _advance(self, order_id, state, ahead, until):
+        """What is known of an order after all that happens until then, the events left, the time of what is next, and the findings."""
         out, at = [], 0
         while True:
             due, kind = self._next(state, ahead[at] if at < len(ahead) else None)
             if due is None or due > until:
-                break
+                return state, ahead[at:], due, [(order_id, *found) for found in out]
             if kind == "event":
                 self._take(state, *ahead[at], out)
                 at += 1
@@ -201,16 +242,6 @@ class OrderStates(StatefulProcessor):
             else:
                 state.quiet_done = True
                 out.append(("quiet", due, None, state.last_type, state.first_us, state.events, state.illegal))
-        if at:
-            self.ahead.put(ahead[at:]) if ahead[at:] else self.ahead.clear()
-        if state.events:
-            self.order.update(astuple(state))
-        elif self.order.exists():
-            self.order.clear()
-        if due is not None:
-            self._wake(due)
-        names = ("kind", "at_us", "from_event", "event", "first_us", "events", "illegal")
-        return iter([Row(order_id=key[0], **dict(zip(names, found, strict=True))) for found in out])
 
     def _wake(self, us):
         self.handle.registerTimer(-(-us // 1000))
@@ -243,3 +274,49 @@ class OrderStates(StatefulProcessor):
                 state.illegal += 1
                 out.append(("illegal", us, state.stage, event, state.first_us, None, None))
             state.stage = event
+
+
+class ManyOrderStates(OrderStates):
+    """Does what ``OrderStates`` does, for all orders of a bucket at once."""
+
+    def init(self, handle):
+        self.waker = Waker(handle)
+        self.orders = handle.getValueState("orders", PACKED)
+        self.ahead = handle.getListState("ahead", "packed binary")
+
+    def handleInputRows(self, key, rows, timerValues):
+        first = None
+        for frame in rows:
+            self.ahead.appendValue((pack(frame[_AHEAD.names], _AHEAD),))
+            us = int(frame["us"].min())
+            first = us if first is None else min(first, us)
+        packed, wake = self.orders.get() if self.orders.exists() else (None, None)
+        if wake is None or first < wake * 1000:
+            self.orders.update((packed, self.waker.move(wake, first)))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        until = timerValues.getCurrentWatermarkInMs() * 1000
+        packed, wake = self.orders.get()
+        states = {order_id: OrderState(*state) for order_id, *state in unpack(packed)} if packed else {}
+        ahead = {order_id: [] for order_id in states}
+        for (data,) in self.ahead.get():
+            for order_id, us, rank in unpack(data):
+                ahead.setdefault(order_id, []).append((us, rank))
+        known, waiting, found, earliest = [], [], [], None
+        for order_id, events in ahead.items():
+            events = [(us, _TYPES[rank - 1]) for us, rank in sorted(set(events))]
+            state, left, due, out = self._advance(order_id, states.get(order_id) or OrderState(), events, until)
+            if state.events:
+                known.append((order_id, *_values(state)))
+            waiting.extend((order_id, us, _TYPES.index(event) + 1) for us, event in left)
+            found.extend(out)
+            if due is not None:
+                earliest = due if earliest is None else min(earliest, due)
+        self.ahead.put([(pack(framed(waiting, _AHEAD.names), _AHEAD),)]) if waiting else self.ahead.clear()
+        if earliest is None:
+            self.orders.clear()
+        else:
+            packed = pack(framed(known, _ORDERS.names), _ORDERS) if known else None
+            self.orders.update((packed, self.waker.move(wake, earliest, fired=True)))
+        return iter([framed(found, _FOUND_NAMES)] if found else ())
