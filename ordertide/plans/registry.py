@@ -979,7 +979,7 @@ def _(t):
 def _(t):
     replay = t.replay()
     slices = time_slices(feeds.harder(t.orders), "ingestion_time", 3)
-    return replay.in_slices(ORDER_FEED, slices, out_of_order_stream)[0]
+    return replay.in_slices(ORDER_FEED, slices, lambda orders: out_of_order_stream(orders, buckets=BUCKETS))[0]
 
 
 @query("missing_steps")
